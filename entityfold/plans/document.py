@@ -178,11 +178,14 @@ def _with_own_sides(base: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame
     )
 
 
-def _with_two_path_sides(base: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def _with_two_path_sides(
+    out: DataFrame, base: DataFrame, dims: Mapping[str, DataFrame]
+) -> DataFrame:
     """Sides keyed by the primary or by the secondary key, and the actions keyed by the latter.
 
     The whole object comes from the primary path when there is one. All secondary matches
-    are brought to the primary key together, through the id and number of the base only.
+    are brought to the primary key together, through a narrow scan of the base of its own
+    (id and number only), and join ``out``, the base with its other sides, once.
     """
     by_start = _down("start_date")
     sides = [
@@ -197,7 +200,6 @@ def _with_two_path_sides(base: DataFrame, dims: Mapping[str, DataFrame]) -> Data
         ("afsAuthorisedRep", "asic_afs_rep", AFS_REP, by_start + _up("rep_number")),
         ("creditRep", "asic_credit_rep", CREDIT_REP, by_start + _up("rep_number")),
     ]
-    out = base
     by_number: dict[str, DataFrame] = {}
     for name, table, spec, order in sides:
         side = dims[table]
@@ -223,10 +225,11 @@ def _with_two_path_sides(base: DataFrame, dims: Mapping[str, DataFrame]) -> Data
     guard = ~F.coalesce("asic_number_type", F.lit("")).isin(*fixed.FOREIGN_TYPES)
     bridge = bridge_secondary(base, "abn", "asic_number", guard, by_number)
     out = out.join(bridge, "abn", "left")
-    for name, *_ in sides:
-        out = out.withColumn(name, F.coalesce(f"{name}_direct", f"{name}_other"))
     no_actions = F.array().cast(bridge.schema["actions"].dataType)
-    return out.withColumn("bannedDisqualified", F.coalesce("actions", no_actions))
+    return out.withColumns(
+        {n: F.coalesce(f"{n}_direct", f"{n}_other") for n, *_ in sides}
+        | {"bannedDisqualified": F.coalesce("actions", no_actions)}
+    )
 
 
 def flag_rules() -> dict[str, Column]:
@@ -351,7 +354,7 @@ def build_documents(base: DataFrame, dims: Mapping[str, DataFrame], version: str
     it joins. Sides small enough are broadcast by Spark on their measured size.
     """
     own = _own_fields(version)
-    out = _with_two_path_sides(_with_own_sides(base, dims), dims)
+    out = _with_two_path_sides(_with_own_sides(base, dims), base, dims)
     sides = [f for f in DOCUMENT_FIELDS if f not in own and f != "flags"]
     doc = out.select(*[c.alias(n) for n, c in own.items()], *sides)
     return derive_flags(doc, flag_rules()).select(*DOCUMENT_FIELDS)

@@ -87,6 +87,11 @@ def merge_shards(spark: SparkSession, path: str, id_column: str = "_id") -> Data
     return read_shards(spark, path).select(id_text.alias(id_column), _LINE).orderBy(id_column)
 
 
+def _below(path: Column) -> Column:
+    """The part of a shard's path below the output folder."""
+    return F.regexp_extract(path, "(bucket=.*)$", 1)
+
+
 def build_manifest(spark: SparkSession, path: str, counts: DataFrame) -> DataFrame:
     """(shard, bucket, records, bytes, sha256) of every shard file, checked against the counts.
 
@@ -98,27 +103,26 @@ def build_manifest(spark: SparkSession, path: str, counts: DataFrame) -> DataFra
         .option("pathGlobFilter", "*.gz")
         .load(path)
         .select(
-            F.col("path").alias("shard"),
-            F.url_decode(F.regexp_extract("path", "/bucket=([^/]*)/", 1)).alias("bucket"),
+            _below(F.col("path")).alias("shard"),
             F.col("length").alias("bytes"),
             F.sha2("content", 256).alias("sha256"),
         )
     )
     if files.isEmpty():
         raise GateError(f"no shards in {path}")
-    records = read_shards(spark, path).groupBy("shard").agg(F.count(F.lit(1)).alias("records"))
-    # Both sides name files by URI; compare the part below the folder, which is the same.
-    below = F.regexp_extract("shard", "(bucket=.*)$", 1)
-    manifest = (
-        files.withColumn("shard", below)
-        .join(records.withColumn("shard", below), "shard", "left")
-        .select(
-            "shard",
-            "bucket",
-            F.coalesce("records", F.lit(0)).cast("bigint").alias("records"),
-            "bytes",
-            "sha256",
-        )
+    # The other reader names files by URI; undo its encoding to meet on the same name.
+    uri = F.url_decode(F.replace(F.col("shard"), F.lit("+"), F.lit("%2B")))
+    records = (
+        read_shards(spark, path)
+        .groupBy(_below(uri).alias("shard"), "bucket")
+        .agg(F.count(F.lit(1)).alias("records"))
+    )
+    manifest = files.join(records, "shard", "left").select(
+        "shard",
+        "bucket",
+        F.coalesce("records", F.lit(0)).cast("bigint").alias("records"),
+        "bytes",
+        "sha256",
     )
     require_empty(reconcile(counts, manifest, "bucket"), "shards and counts do not agree")
     return manifest

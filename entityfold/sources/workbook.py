@@ -9,16 +9,21 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityfold.functions import clean_number, digits, has_digits, sheet_date, stripped, to_cents
 
+# The decoder travels to the executors with the job; they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 GRID_SCHEMA = "path string, sheet_no int, sheet string, row_no int, cells array<string>"
 _BATCH_ROWS = 5_000
 

@@ -18,7 +18,9 @@ from entityfold.operators import (
 from entityfold.operators.nest import collect_ordered
 from queries.registry import big, query, table
 
-DAY = F.to_date("o_orderdate")
+def _day():
+    return F.to_date("o_orderdate")
+
 
 
 @query("""
@@ -30,7 +32,7 @@ DAY = F.to_date("o_orderdate")
 """)
 def latest_nulls_last(spark, d):
     orders = table(spark, d, "orders").select(
-        "o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") != "P", DAY).alias("d")
+        "o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") != "P", _day()).alias("d")
     )
     return latest_per_key(orders, "o_custkey", [F.col("d").desc_nulls_last(), F.col("o_orderkey")])
 
@@ -44,7 +46,7 @@ def latest_nulls_last(spark, d):
 """)
 def first_asc(spark, d):
     orders = table(spark, d, "orders").select(
-        "o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") != "P", DAY).alias("d")
+        "o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") != "P", _day()).alias("d")
     )
     return latest_per_key(orders, "o_custkey", [F.col("d").asc_nulls_last(), F.col("o_orderkey")])
 
@@ -79,7 +81,7 @@ def nest_one_object(spark, d):
     latest = latest_per_key(
         big_orders, "c_custkey", [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey")]
     )
-    fields = {"key": F.col("o_orderkey"), "day": DAY}
+    fields = {"key": F.col("o_orderkey"), "day": _day()}
     out = nest_one(table(spark, d, "customer").select("c_custkey"), latest, "c_custkey", "o", fields)
     return out.select(
         "c_custkey",

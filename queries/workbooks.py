@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Sequence
 from xml.sax.saxutils import escape, quoteattr
 
+from pyspark import cloudpickle
+
+# Travels to the executors with the job; they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _LINK = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
