@@ -152,11 +152,15 @@ def read_delimited(
     quoting: bool,
     expected_cols: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All columns as text under safe names, after the gates; rows keep every character.
+    """All columns as text under safe names; rows keep every character.
+
+    One cheap pass over the lines first: header, quotes that never close, blank lines.
+    The width of every record is checked as it is parsed, whatever columns are used
+    later, and a wrong one fails the job; ``gate_rectangular`` checks it ahead instead.
 
     Files are read in splits. Only files with line breaks inside quotes have to be read
     one task to a file, which the first pass finds out.
     """
-    labels, multi_line = gate_rectangular(spark, path, sep, quoting)
+    labels, multi_line = _profile(delimited_facts(spark, path), sep, quoting)
     names = _names(labels, expected_cols)
     return _reader(spark, names, sep, quoting, multi_line).option("mode", "FAILFAST").csv(path)

@@ -213,7 +213,7 @@ def test_failed_source_is_reported_and_others_go_on(spark, tmp_path):
     specs = [s for s in SOURCES if s.key in ("wgea_reporter", "gov_spend", "asic_credit_rep")]
     floors = {"asic_credit_rep": 2}
     report = load_sources(spark, specs, paths, str(tmp_path / "t"), VERSION, floors)
-    assert "width" in report.failures["wgea_reporter"]
+    assert "wgea_reporter.csv" in report.failures["wgea_reporter"]
     assert report.failures["asic_credit_rep"] == "1 rows, fewer than 2"
     assert report.rows == {"asic_credit_rep": 1, "gov_spend": 2}
     dims = read_dims(spark, str(tmp_path / "t"), VERSION)
