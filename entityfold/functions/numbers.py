@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from entityfold.functions.text import stripped
+from entityfold.functions.text import WHITE_SPACE, strip_white
 
 
 def guarded_number(c: Column, kind: str = "decimal(38,6)") -> Column:
@@ -22,17 +22,31 @@ def guarded_integer(c: Column) -> Column:
     return F.when(text.rlike(r"^-?[0-9]+\z"), text).cast("bigint")
 
 
-def text_number(c: Column) -> Column:
-    """A number written as text, exponents allowed, as a finite double; blank is zero."""
-    text = F.coalesce(stripped(c), F.when(c.isNotNull(), F.lit("0")))
-    shaped = F.when(text.rlike(r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\z"), text)
-    number = shaped.try_cast("double")
+def parsed_number(text: Column) -> Column:
+    """A stripped text as a double, exponents allowed; null for anything else.
+
+    Only digits, signs, points and exponents may occur, which keeps out the other forms
+    that a cast would take (names of infinities, type suffixes).
+    """
+    odd = F.translate(text, "0123456789.+-eE", "")
+    return F.when(odd == "", text).try_cast("double")
+
+
+def finite(number: Column) -> Column:
+    """Null for a number too large for a double."""
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
+def text_number(c: Column) -> Column:
+    """A number written as text as a finite double; blank is zero."""
+    text = strip_white(c)
+    return finite(F.when(text == "", F.lit(0.0)).otherwise(parsed_number(text)))
+
+
 def clean_number(c: Column) -> Column:
     """A number cell without its thousands commas, dollar signs and spaces; blank is null."""
-    return F.when(stripped(c).isNotNull(), text_number(F.regexp_replace(c, r"[,$\s]", "")))
+    plain = F.translate(c, ",$" + WHITE_SPACE, "")
+    return F.when(strip_white(c) != "", text_number(plain))
 
 
 def positive_or_null(number: Column) -> Column:

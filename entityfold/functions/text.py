@@ -8,7 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every kind of white space, the no-break space and the byte-order mark included.
-_SPACE = r"[\s\p{Z}\x{FEFF}]"
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
 
 
 def trimmed(c: Column) -> Column:
@@ -18,7 +21,12 @@ def trimmed(c: Column) -> Column:
 
 def stripped(c: Column) -> Column:
     """Strip all white space from both ends; blank becomes null."""
-    return F.nullif(F.regexp_replace(c, f"^{_SPACE}+|{_SPACE}+$", ""), F.lit(""))
+    return F.nullif(strip_white(c), F.lit(""))
+
+
+def strip_white(c: Column) -> Column:
+    """Strip all white space from both ends; blank stays blank."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def joined(*parts: Column) -> Column:

@@ -11,7 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityfold.functions import digits, first_ten, text_number, to_cents
+from entityfold.functions import digits, first_ten, to_cents
+from entityfold.functions.numbers import finite, parsed_number
+from entityfold.functions.text import strip_white
 from entityfold.operators.relate import first_seen
 
 
@@ -46,12 +48,12 @@ def extract_releases(
     date. Narrow on purpose: this is what the de-duplication shuffles.
     """
     contracts = F.coalesce("contracts", F.array().cast(releases.schema["contracts"].dataType))
-    cents = F.aggregate(
-        contracts,
-        F.lit(0).cast("bigint"),
-        lambda total, c: total
-        + F.coalesce(to_cents(text_number(c["value"]["amount"])), F.lit(0).cast("bigint")),
-    )
+    # One step per transform: inside a lambda Spark evaluates a repeated part again.
+    texts = F.transform(contracts, lambda c: strip_white(c["value"]["amount"]))
+    numbers = F.transform(texts, parsed_number)
+    amounts = F.transform(numbers, lambda n: to_cents(finite(n)))
+    zero = F.lit(0).cast("bigint")
+    cents = F.aggregate(amounts, zero, lambda total, c: total + F.coalesce(c, zero))
     signed = F.array_min(F.transform(contracts, lambda c: first_ten(c["dateSigned"])))
     return releases.select(
         "ocid",

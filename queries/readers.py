@@ -86,6 +86,7 @@ def delimited_quoted(spark, d):
         .write.option("header", True)
         .option("escape", '"')
         .option("quoteAll", True)
+        .option("maxRecordsPerFile", 50_000)
         .csv(folder)
     )
     return read_delimited(spark, folder, ",", quoting=True)
@@ -214,7 +215,9 @@ def ocds_releases(spark, d):
     package = F.to_json(F.struct(F.array("r").alias("releases")))
     lines = one.select(F.when(F.col("r.ocid").isNull(), package).otherwise(bare).alias("value"))
     again = one.where("r.ocid is not null").select(package.alias("value"))
-    lines.unionAll(again).write.option("compression", "gzip").text(folder)
+    # A gzipped file is read by one task, so none gets too many lines.
+    files = lines.unionAll(again).write.option("maxRecordsPerFile", 50_000)
+    files.option("compression", "gzip").text(folder)
     extracted = extract_releases(read_ocds(spark, folder), POSITION)
     return spend_by_supplier(distinct_releases(extracted, POSITION))
 
@@ -231,7 +234,10 @@ def _workbooks(rows, label, preamble, columns):
         path = f"book-{pdf['book'].iloc[0]}.xlsx"
         return pd.DataFrame({"path": [path], "content": [encode_workbook(sheets)]})
 
-    return rows.groupBy("book").applyInPandas(encode, "path string, content binary")
+    # Small in bytes but long in work, so the number of tasks is set, not left to the size.
+    tasks = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    spread = rows.repartition(tasks, "book")
+    return spread.groupBy("book").applyInPandas(encode, "path string, content binary")
 
 
 @query("""
