@@ -33,7 +33,7 @@ from entityfold.operators import awards_by_recipient, latest_per_key, spend_by_s
 from entityfold.operators.aggregate import distinct_releases, extract_releases
 from entityfold.plans import fixed_values as fixed
 from entityfold.sources.ocds import POSITION
-from entityfold.sources.workbook import cell_at, has_any, locate_header, table_rows
+from entityfold.sources.workbook import cell_at, has_any, table_rows
 
 
 def _abn(c: str) -> Column:
@@ -234,38 +234,52 @@ def smsf_auditor(raw: DataFrame) -> DataFrame:
     return latest_per_key(typed, "abn", order).drop("raw_order")
 
 
+def _table(grid: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """The wanted cells of a workbook's table, each looked up once per row."""
+    return _named(table_rows(grid, has_any(["abn", "abn/acn"]), 10), columns)
+
+
 def tax_transparency(grid: DataFrame) -> DataFrame:
-    rows = table_rows(grid, locate_header(grid, has_any(["abn", "abn/acn"]), 10))
-    abn = digits(cell_at("abn"))
-    total = clean_number(cell_at("total income $", ["total income"]))
+    cells = _table(
+        grid,
+        {
+            "abn": digits(cell_at("abn")),
+            "year": cell_at("income year"),
+            "total": clean_number(cell_at("total income $", ["total income"])),
+            "taxable": clean_number(cell_at("taxable income $", ["taxable income"])),
+            "payable": clean_number(cell_at("tax payable $", ["tax payable"])),
+        },
+    )
     money = "decimal(38,2)"
     return _named(
-        rows.where(has_digits(abn, 11) & total.isNotNull()),
+        cells.where(_abn("abn") & F.col("total").isNotNull()),
         {
-            "abn": abn,
-            "income_year": stripped(cell_at("income year")),
-            "total_income": total.cast(money),
-            "taxable_income": positive_or_null(
-                clean_number(cell_at("taxable income $", ["taxable income"]))
-            ).cast(money),
-            "tax_payable": positive_or_null(
-                clean_number(cell_at("tax payable $", ["tax payable"]))
-            ).cast(money),
+            "abn": F.col("abn"),
+            "income_year": stripped(F.col("year")),
+            "total_income": F.col("total").cast(money),
+            "taxable_income": positive_or_null(F.col("taxable")).cast(money),
+            "tax_payable": positive_or_null(F.col("payable")).cast(money),
         },
     )
 
 
 def rd_tax_incentive(grid: DataFrame) -> DataFrame:
-    rows = table_rows(grid, locate_header(grid, has_any(["abn", "abn/acn"]), 10))
-    abn, acn = routed_padded(cell_at("abn/acn", ["abn"]))
-    spent = cell_at(None, ["total r&d expenditure"], excluding=["amended"])
+    cells = _table(
+        grid,
+        {
+            "key": cell_at("abn/acn", ["abn"]),
+            "year": cell_at("income year"),
+            "spent": cell_at(None, ["total r&d expenditure"], excluding=["amended"]),
+        },
+    )
+    abn, acn = routed_padded(F.col("key"))
     return _named(
-        rows.where(F.coalesce(abn, acn).isNotNull()),
+        cells.where(F.coalesce(abn, acn).isNotNull()),
         {
             "abn": abn,
             "acn": acn,
-            "income_year": stripped(cell_at("income year")),
-            "total_rd_expenditure": clean_number(spent).cast("decimal(38,2)"),
+            "income_year": stripped(F.col("year")),
+            "total_rd_expenditure": clean_number(F.col("spent")).cast("decimal(38,2)"),
         },
     )
 

@@ -16,7 +16,7 @@ from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from entityfold.functions import clean_number, digits, has_digits, sheet_date, stripped, to_cents
@@ -131,27 +131,31 @@ def _lowered(cells: Column) -> Column:
     return F.transform(cells, lambda c: F.coalesce(F.lower(stripped(c)), F.lit("")))
 
 
-def locate_header(grid: DataFrame, is_header, max_scan: int, first_sheet_only: bool = False):
-    """(path, sheet_no, row_no, header): the first header row of each workbook.
-
-    ``is_header`` is a function of the lower-case cells of a row. A workbook with no
-    header row fails the job.
-    """
+def _header_row(is_header, max_scan: int, first_sheet_only: bool) -> Column:
+    """The position and labels of a row that is a header, null for any other row."""
     labels = _lowered(F.col("cells"))
     candidate = (F.col("row_no") <= max_scan) & is_header(labels)
     if first_sheet_only:
         candidate = candidate & (F.col("sheet_no") == 0)
+    return F.when(candidate, F.struct("sheet_no", "row_no", labels.alias("header")))
+
+
+def _found(header: Column) -> Column:
+    """The header of a workbook; a workbook without one fails the job."""
     missing = F.raise_error(F.concat(F.lit("no header row in "), "path"))
-    first = F.min(F.when(candidate, F.struct("sheet_no", "row_no", labels.alias("header"))))
-    return (
-        grid.groupBy("path")
-        .agg(first.alias("h"))
-        .select(
-            "path",
-            F.when(F.col("h").isNotNull(), F.col("h")).otherwise(missing).alias("h"),
-        )
-        .select("path", "h.*")
-    )
+    return F.when(header.isNotNull(), header).otherwise(missing)
+
+
+def locate_header(
+    grid: DataFrame, is_header, max_scan: int, first_sheet_only: bool = False
+) -> DataFrame:
+    """(path, sheet_no, row_no, header): the first header row of each workbook.
+
+    ``is_header`` is a function of the lower-case cells of a row.
+    """
+    first = F.min(_header_row(is_header, max_scan, first_sheet_only))
+    found = grid.groupBy("path").agg(first.alias("h"))
+    return found.select("path", _found(F.col("h")).alias("h")).select("path", "h.*")
 
 
 def has_any(tokens: Sequence[str]):
@@ -159,20 +163,24 @@ def has_any(tokens: Sequence[str]):
     return lambda labels: F.arrays_overlap(labels, F.array(*[F.lit(t) for t in tokens]))
 
 
-def table_rows(grid: DataFrame, header: DataFrame) -> DataFrame:
+def table_rows(
+    grid: DataFrame, is_header, max_scan: int, first_sheet_only: bool = False
+) -> DataFrame:
     """(path, row_no, header, cells): the rows below the header on its sheet, blank rows left out.
 
-    ``header`` is one row per workbook.
+    The header reaches its rows through a window over the workbook, so that a workbook is
+    decoded once; the size of a workbook is bounded by its format.
     """
-    h = header.select(
-        "path", F.col("sheet_no").alias("h_sheet"), F.col("row_no").alias("h_row"), "header"
-    )
+    book = Window.partitionBy("path")
+    first = F.min(_header_row(is_header, max_scan, first_sheet_only)).over(book)
     filled = F.exists("cells", lambda c: stripped(c).isNotNull())
+    same_sheet = F.col("sheet_no") == F.col("h.sheet_no")
     return (
         grid.where(filled)
-        .join(h, "path")
-        .where((F.col("sheet_no") == F.col("h_sheet")) & (F.col("row_no") > F.col("h_row")))
-        .select("path", "row_no", "header", "cells")
+        .withColumn("h", first)
+        .withColumn("h", _found(F.col("h")))
+        .where(same_sheet & (F.col("row_no") > F.col("h.row_no")))
+        .select("path", "row_no", "h.header", "cells")
     )
 
 
@@ -226,15 +234,21 @@ def read_grant_awards(grid: DataFrame) -> DataFrame:
             labels, lambda c: c.startswith("value")
         )
 
-    rows = table_rows(grid, locate_header(grid, is_header, 40, first_sheet_only=True))
+    rows = table_rows(grid, is_header, 40, first_sheet_only=True)
     value = cell_at(None, starts="value")
     has_ids = F.array_contains("header", "ga id")
-    marker = F.when(has_ids, cell_at("ga id", required=False)).otherwise(value)
-    key = digits(cell_at("recipient abn"))
-    blank_is_zero = F.when(stripped(value).isNull(), F.lit(0.0)).otherwise(clean_number(value))
-    return rows.where(stripped(marker).isNotNull()).select(
+    cells = rows.select(
+        "path",
+        F.when(has_ids, cell_at("ga id", required=False)).otherwise(value).alias("marker"),
+        value.alias("value"),
+        digits(cell_at("recipient abn")).alias("key"),
+        cell_at("publish date", required=False).alias("day"),
+    )
+    blank = stripped(F.col("value")).isNull()
+    dollars = F.when(blank, F.lit(0.0)).otherwise(clean_number(F.col("value")))
+    return cells.where(stripped(F.col("marker")).isNotNull()).select(
         "path",
-        F.when(has_digits(key, 11), key).alias("recipient"),
-        to_cents(blank_is_zero).alias("cents"),
-        sheet_date(cell_at("publish date", required=False)).alias("published"),
+        F.when(has_digits(F.col("key"), 11), F.col("key")).alias("recipient"),
+        to_cents(dollars).alias("cents"),
+        sheet_date(F.col("day")).alias("published"),
     )

@@ -12,6 +12,7 @@ from entityfold.sources import (
     decode_workbooks,
     gate_quotes,
     gate_rectangular,
+    locate_header,
     pick_snapshot,
     read_delimited,
     read_grant_awards,
@@ -22,6 +23,7 @@ from entityfold.sources import (
     register_rows,
 )
 from entityfold.sources.snapshots import income_year_in, year_in
+from entityfold.sources.workbook import has_any
 from queries.workbooks import encode_workbook
 from tests import landing
 
@@ -257,6 +259,12 @@ def test_workbooks_without_the_columns_they_need(spark):
         normalise.tax_transparency(late).collect()
 
 
+def test_locate_header(spark):
+    grid = grid_of(spark, ("A", [["prose"]]), ("B", [["title"], ["Name", " ABN/ACN "], ["x", 1]]))
+    header = locate_header(grid, has_any(["abn", "abn/acn"]), 10).first()
+    assert tuple(header) == ("b.xlsx", 1, 2, ["name", "abn/acn"])
+
+
 def test_grant_reports(spark):
     header = ["Recipient ABN", "Value (AUD)", "Publish Date"]
     awards = read_grant_awards(
