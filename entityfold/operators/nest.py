@@ -12,6 +12,9 @@ from entityfold.operators.gates import require_empty
 _VALUE = "__value"
 _PAGE = "__page"
 
+# Rows that one page of a list holds, about.
+PAGE_ROWS = 100_000
+
 
 def _object(fields: Mapping[str, Column]) -> Column:
     return F.struct(*[c.alias(n) for n, c in fields.items()])
@@ -83,18 +86,20 @@ def nest_pages(
     name: str,
     fields: Mapping[str, Column],
     order: Sequence[str],
-    pages: int,
+    page_rows: int = PAGE_ROWS,
 ) -> DataFrame:
     """Ordered lists in pages, for keys with too many rows for one list: (key, page, list).
 
-    The rows are range-partitioned by key and order together, so a hot key runs over
-    several partitions and every page is one contiguous, ordered slice of one partition.
-    Pages of a key, in page order, hold all of its rows in order.
+    The rows are counted, then range-partitioned by key and order together into parts of
+    about ``page_rows``. A hot key so runs over many parts, and every page is one
+    contiguous, ordered slice of one part. Pages of a key, in page order, hold all of its
+    rows in order; page numbers have gaps.
     """
+    keyed = child.where(F.col(on).isNotNull())
+    parts = max(1, -(-keyed.count() // page_rows))
     ranged = (
-        child.where(F.col(on).isNotNull())
-        .select(on, _sortable(order, fields).alias(_VALUE))
-        .repartitionByRange(pages, on, _VALUE)
+        keyed.select(on, _sortable(order, fields).alias(_VALUE))
+        .repartitionByRange(parts, on, _VALUE)
         .select(on, F.spark_partition_id().alias(_PAGE), _VALUE)
     )
     return (

@@ -30,13 +30,16 @@ from entityfold.plans.document import build_documents, version_date
 from entityfold.plans.normalise import SourceSpec
 from entityfold.sinks import build_manifest, write_metadata, write_shards
 from entityfold.sources import (
+    pick_snapshot,
     read_delimited,
     read_grant_awards,
+    read_listing,
     read_ocds,
     read_register_xml,
     read_workbook_grid,
     register_rows,
 )
+from entityfold.sources.snapshots import income_year_in, year_in
 
 # Most names or actions that one document may list.
 MAX_NESTED = 100_000
@@ -66,6 +69,39 @@ def _table(folder: str, version: str, name: str) -> str:
     return f"{folder}/version={version_date(version):%Y%m%d}/{name}"
 
 
+def choose_files(spark: SparkSession, landing: str, specs: list[SourceSpec]) -> dict[str, str]:
+    """The file of each source among the snapshots in ``landing/<source>/``.
+
+    Sources whose files are all to be read give their folder. A source with no matching
+    file is left out, and will be reported as failed when it is loaded.
+    """
+    chosen = {s.key: f"{landing}/{s.key}" for s in specs if s.pick == "all"}
+    wanted = spark.createDataFrame(
+        [(s.key, s.match, s.pick, s.suffix) for s in specs if s.pick != "all"],
+        "source string, match string, pick string, suffix string",
+    )
+    name = F.lower("name")
+    listing = (
+        read_listing(spark, f"{landing}/*")
+        .withColumn("source", F.element_at(F.split("path", "/"), -2))
+        .join(wanted, "source")
+    )
+    year = (
+        F.when(F.col("pick") == "latest-year", year_in(F.col("name")))
+        .when(F.col("pick") == "latest-income-year", income_year_in(F.col("name")))
+        .otherwise(0)
+    )
+    size = F.when(F.col("pick") != "latest-income-year", F.col("size")).otherwise(0)
+    picked = pick_snapshot(
+        listing,
+        "source",
+        F.endswith(name, F.col("suffix")) & F.contains(name, F.col("match")),
+        [year.desc(), size.desc(), F.col("pos")],
+    )
+    # One row per source of the registry.
+    return chosen | {r["source"]: r["path"] for r in picked.select("source", "path").collect()}
+
+
 @dataclass
 class LoadReport:
     """What each source gave, and why a source failed."""
@@ -99,6 +135,8 @@ def load_sources(
         target = _table(folder, version, spec.key)
         floor = spec.floor if floors is None else floors.get(spec.key, 0)
         try:
+            if spec.key not in paths:
+                raise GateError("no file for this source")
             typed_source(spark, spec, paths[spec.key]).write.mode("errorifexists").parquet(target)
             loaded = spark.read.schema(fixed.TABLES[spec.key]).parquet(target).count()
         except Exception as error:  # noqa: BLE001 - reported per source, raised by the caller
@@ -194,7 +232,7 @@ def build_release(
 
     table = _table(folder, version, "documents")
     built = build_documents(base, dims, version)
-    built.orderBy("_id").write.mode("errorifexists").parquet(table)
+    built.write.mode("errorifexists").parquet(table)
     docs = spark.read.schema(built.schema).parquet(table)
 
     verdict = verify(docs, profile)

@@ -318,13 +318,19 @@ class SourceSpec:
     key: str
     form: str  # "quoted", "literal", "workbook", "releases" or "grants"
     match: str  # lower-case part of the name of its file
-    pick: str  # "largest", "latest-year" or "latest-income-year"
+    pick: str  # "largest", "latest-year", "latest-income-year" or "all"
     normalise: Callable[[DataFrame], DataFrame]
 
     @property
     def floor(self) -> int:
         return fixed.ROW_FLOORS[self.key]
 
+    @property
+    def suffix(self) -> str:
+        """How the names of its files end."""
+        endings = {"workbook": ".xlsx", "grants": ".xlsx", "releases": ".jsonl.gz"}
+        return endings.get(self.form, ".csv")
+
 
 SOURCES = [
     SourceSpec("asic_company", "literal", "company", "largest", company),

@@ -1,10 +1,13 @@
-"""Writers: JSON lines, ordered shards per bucket, metadata, manifest."""
+"""Writers: JSON lines, ordered shards per bucket, metadata, manifest, bundle, reports."""
 
 from entityfold.sinks.shards import (
     build_manifest,
     json_line,
     merge_shards,
     read_shards,
+    write_awards,
+    write_bundle,
+    write_comparison,
     write_metadata,
     write_ndjson,
     write_shards,
@@ -15,6 +18,9 @@ __all__ = [
     "json_line",
     "merge_shards",
     "read_shards",
+    "write_awards",
+    "write_bundle",
+    "write_comparison",
     "write_metadata",
     "write_ndjson",
     "write_shards",

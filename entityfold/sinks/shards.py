@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entityfold.functions import bucket_key
-from entityfold.operators.compare import reconcile
+from entityfold.operators.compare import reconcile, shard_total
 from entityfold.operators.gates import GateError, require_empty
 
 _LINE = "value"
@@ -54,15 +54,13 @@ def write_shards(
     Rows are range-partitioned by bucket and id together, so a bucket with a third of
     all documents becomes many files, each a contiguous range of ids.
     """
-    lines = doc.select(
-        bucket_key(F.col(key)).alias("bucket"), F.col(id_column).alias("__id"), json_line(doc)
-        .alias(_LINE),
-    )
-    by = ["bucket", "__id"]
-    ranged = lines.repartitionByRange(shards, *by) if shards else lines.repartitionByRange(*by)
+    keyed = doc.withColumn("__bucket", bucket_key(F.col(key)))
+    by = ["__bucket", id_column]
+    ranged = keyed.repartitionByRange(shards, *by) if shards else keyed.repartitionByRange(*by)
+    # The text is made after the shuffle: the pass that samples the ranges need not make it.
     (
         ranged.sortWithinPartitions(*by)
-        .drop("__id")
+        .select(F.col("__bucket").alias("bucket"), json_line(doc).alias(_LINE))
         .write.mode("errorifexists")
         .partitionBy("bucket")
         .option("compression", "gzip")
@@ -92,24 +90,30 @@ def _below(path: Column) -> Column:
     return F.regexp_extract(path, "(bucket=.*)$", 1)
 
 
-def build_manifest(spark: SparkSession, path: str, counts: DataFrame) -> DataFrame:
-    """(shard, bucket, records, bytes, sha256) of every shard file, checked against the counts.
-
-    ``counts`` is (bucket, n). Fails when shards and counts do not agree both ways.
-    """
-    files = (
+def _hashed(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, bytes, sha256) of the compressed files below a folder."""
+    return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.gz")
         .load(path)
         .select(
-            _below(F.col("path")).alias("shard"),
+            F.col("path").alias("shard"),
             F.col("length").alias("bytes"),
             F.sha2("content", 256).alias("sha256"),
         )
     )
+
+
+def build_manifest(spark: SparkSession, path: str, counts: DataFrame) -> DataFrame:
+    """(shard, bucket, records, bytes, sha256) of every shard file, checked against the counts.
+
+    ``counts`` is (bucket, n). Fails when shards and counts do not agree both ways.
+    """
+    files = _hashed(spark, path)
     if files.isEmpty():
         raise GateError(f"no shards in {path}")
+    files = files.withColumn("shard", _below(F.col("shard")))
     # The other reader names files by URI; undo its encoding to meet on the same name.
     uri = F.url_decode(F.replace(F.col("shard"), F.lit("+"), F.lit("%2B")))
     records = (
@@ -128,6 +132,76 @@ def build_manifest(spark: SparkSession, path: str, counts: DataFrame) -> DataFra
     return manifest
 
 
+def write_bundle(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    manifest: DataFrame,
+    id_column: str = "_id",
+    max_records: int = SHARD_RECORDS,
+) -> DataFrame:
+    """All shards merged in one order of ids; the manifest with the bundle's files added.
+
+    The bundle repeats the shards, so its files are marked ``aggregate`` and left out of
+    the total. Fails when the bundle does not hold exactly the records of the shards.
+    """
+    merged = merge_shards(spark, path, id_column).select(_LINE)
+    writer = merged.write.mode("errorifexists").option("compression", "gzip")
+    writer.option("maxRecordsPerFile", max_records).text(out)
+    records = (
+        spark.read.text(out)
+        .groupBy(_name(F.col("_metadata.file_path")).alias("shard"))
+        .agg(F.count(F.lit(1)).alias("records"))
+    )
+    bundle = (
+        _hashed(spark, out)
+        .withColumn("shard", _name(F.col("shard")))
+        .join(records, "shard")
+        .select("shard", F.lit("all").alias("bucket"), "records", "bytes", "sha256")
+    )
+    own, other = F.lit(False).alias("aggregate"), F.lit(True).alias("aggregate")
+    both = manifest.select("*", own).unionByName(bundle.select("*", other))
+    total = shard_total(both).first()["total"]
+    held = bundle.agg(F.sum("records").alias("n")).first()["n"]
+    if held != total:
+        raise GateError(f"the bundle holds {held} records, the shards {total}")
+    return both
+
+
+def _name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def write_awards(awards: DataFrame, path: str) -> None:
+    """One JSON line per recipient, in order of the key; cents as text, exact at any size."""
+    awards.orderBy("recipient").select(
+        F.col("recipient").alias("abn"),
+        F.col("cents").cast("string").alias("totalValueCents"),
+        F.col("awards").alias("grantCount"),
+        F.col("first_published").cast("string").alias("firstPublishDate"),
+        F.col("last_published").cast("string").alias("lastPublishDate"),
+    ).write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+
+
+def write_comparison(report: DataFrame, path: str, noun: str = "records") -> None:
+    """A build comparison as JSON lines and as a table in Markdown."""
+    percent = F.coalesce(F.format_string("%+.1f%%", F.col("change") * 100), F.lit("n/a"))
+    cells = F.concat_ws(" | ", "bucket", "prior", "current", percent, "status")
+    head = [(0, f"| bucket | prior {noun} | current {noun} | change | status |")]
+    head.append((1, "|---|---|---|---|---|"))
+    lines = report.select(
+        F.lit(2).alias("part"),
+        F.coalesce("bucket", F.lit("")).alias("bucket"),
+        F.concat(F.lit("| "), cells, F.lit(" |")).alias(_LINE),
+    )
+    top = report.sparkSession.createDataFrame(head, f"part int, {_LINE} string")
+    table = top.select("part", F.lit("").alias("bucket"), _LINE).unionByName(lines)
+    table.orderBy("part", "bucket").select(_LINE).write.mode("errorifexists").text(
+        f"{path}/markdown"
+    )
+    report.write.mode("errorifexists").json(f"{path}/json")
+
+
 def write_metadata(
     path: str,
     version: str,

@@ -132,9 +132,8 @@ def ingest_statistics(spark, d):
 """)
 def shared_attribution(spark, d):
     """An order's full value goes to each of its suppliers, once."""
-    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
-        F.collect_set("l_suppkey").alias("suppliers")
-    )
+    pairs = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+    lines = pairs.select("l_orderkey", F.array("l_suppkey").alias("suppliers"))
     releases = table(spark, d, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         to_cents(F.col("o_totalprice")).alias("cents"),

@@ -126,7 +126,7 @@ def nest_many_in_pages(spark, d):
     """Three keys hold all rows; each is nested in pages, and the pages add up to the whole."""
     child = table(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
     fields = {"key": F.col("l_orderkey")}
-    pages = nest_pages(child, "l_returnflag", "x", fields, ["l_orderkey", "l_linenumber"], 16)
+    pages = nest_pages(child, "l_returnflag", "x", fields, ["l_orderkey", "l_linenumber"], 5000)
     keys = F.col("x.key")
     total = F.aggregate(keys, F.lit(0).cast("bigint"), lambda a, k: a + k)
     return pages.groupBy("l_returnflag").agg(

@@ -1,13 +1,17 @@
 """Files to documents, end to end, with made-up entities for every case that matters."""
 
+import gzip
+import hashlib
 import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from entityfold.operators import GateError
+from entityfold.operators import GateError, bucket_counts
 from entityfold.plans.build import (
     build_release,
+    choose_files,
     compare_releases,
     load_base,
     load_sources,
@@ -16,7 +20,16 @@ from entityfold.plans.build import (
 )
 from entityfold.plans.document import DOCUMENT_FIELDS
 from entityfold.plans.normalise import SOURCES
-from entityfold.sinks import json_line, merge_shards
+from entityfold.sinks import (
+    build_manifest,
+    json_line,
+    merge_shards,
+    write_awards,
+    write_bundle,
+    write_comparison,
+    write_shards,
+)
+from queries.documents import documents as documents_of
 from tests import landing
 from tests.landing import BARE, CLASH, FIRM, GONE, MATCH, MONO, SOLE, TRUST
 
@@ -188,6 +201,117 @@ def test_shards_manifest_and_metadata(spark, built):
     assert sources.count() == 16
 
 
+def test_shards_are_sorted_slices(spark, tmp_path):
+    ids = spark.range(5000).select(
+        F.lpad((F.col("id") * 7919 % 5003).cast("string"), 6, "0").alias("_id"),
+        F.when(F.col("id") % 3 == 0, "NSW").when(F.col("id") % 50 == 1, "VIC").alias("state"),
+    )
+    path = str(tmp_path / "shards")
+    write_shards(ids, path, "state", shards=9, max_records=400)
+    files = sorted(Path(path).glob("bucket=*/*.gz"))
+    held = {}
+    for file in files:
+        lines = gzip.decompress(file.read_bytes()).decode().splitlines()
+        found = [json.loads(line)["_id"] for line in lines]
+        assert found == sorted(found) and len(found) <= 400
+        held.setdefault(file.parent.name, []).append((found[0], found[-1], len(found)))
+    assert {b: sum(n for *_, n in parts) for b, parts in held.items()} == {
+        f"bucket={r['bucket']}": r["n"] for r in bucket_counts(ids, "state").collect()
+    }
+    for parts in held.values():
+        ordered = sorted(parts)
+        assert all(a[1] < b[0] for a, b in zip(ordered, ordered[1:], strict=False))
+
+    manifest = build_manifest(spark, path, bucket_counts(ids, "state"))
+    both = write_bundle(spark, path, str(tmp_path / "all"), manifest, max_records=1000).collect()
+    bundle = [r for r in both if r["aggregate"]]
+    assert sum(r["records"] for r in bundle) == 5000 and len(bundle) >= 5
+    one = next(r for r in bundle if r["records"])
+    content = (tmp_path / "all" / one["shard"]).read_bytes()
+    assert one["sha256"] == hashlib.sha256(content).hexdigest() and one["bytes"] == len(content)
+
+    with pytest.raises(GateError, match="counts differ"):
+        build_manifest(spark, path, bucket_counts(ids.where("_id <> '000007'"), "state"))
+    with pytest.raises(GateError, match="no shards"):
+        (tmp_path / "empty").mkdir()
+        build_manifest(spark, str(tmp_path / "empty"), bucket_counts(ids, "state"))
+
+
+def test_files_are_chosen_per_source(spark, tmp_path):
+    names = {
+        "asic_company": {"company_202606.csv": 9, "company_dictionary.csv": 2, "x.csv": 50},
+        "wgea_reporter": {
+            "2020 list included_organisations_per_abn.csv": 90,
+            "2022 list included_organisations_per_abn.csv": 5,
+        },
+        "tax_transparency": {
+            "2022-23 Report of entity tax information.xlsx": 9,
+            "2023-24 Report of Entity Tax Information.xlsx": 1,
+            "2024-25 Report of entity tax information.pdf": 1,
+        },
+        "gov_grants": {"2024.xlsx": 1, "2025.xlsx": 1},
+    }
+    for source, files in names.items():
+        (tmp_path / source).mkdir()
+        for name, size in files.items():
+            (tmp_path / source / name).write_text("x" * size)
+    chosen = choose_files(spark, str(tmp_path), SOURCES)
+    assert {k: v.split("/")[-1] for k, v in chosen.items()} == {
+        "asic_company": "company_202606.csv",
+        "wgea_reporter": "2022 list included_organisations_per_abn.csv",
+        "tax_transparency": "2023-24 Report of Entity Tax Information.xlsx",
+        "gov_grants": "gov_grants",
+    }
+    specs = [s for s in SOURCES if s.key == "acnc_ais"]
+    report = load_sources(spark, specs, chosen, str(tmp_path / "t"), VERSION)
+    assert report.failures == {"acnc_ais": "GateError: no file for this source"}
+
+
+def test_reports(spark, rows, tmp_path):
+    awards = rows([("b", 5, 1, None, None), ("a", 35051, 2, "2020-01-15", "2022-05-01")],
+                  "recipient string, cents long, awards long, first_published string, "
+                  "last_published string")
+    write_awards(awards, str(tmp_path / "awards"))
+    lines = [r["value"] for r in spark.read.text(str(tmp_path / "awards")).collect()]
+    assert sorted(lines)[0] == (
+        '{"abn":"a","totalValueCents":"35051","grantCount":2,'
+        '"firstPublishDate":"2020-01-15","lastPublishDate":"2022-05-01"}'
+    )
+    shape = "bucket string, n long"
+    report, odd = compare_releases(rows([("nsw", 11)], shape), rows([("nsw", 10)], shape), 0.25)
+    assert not odd
+    write_comparison(report, str(tmp_path / "cmp"))
+    text = {r["value"] for r in spark.read.text(str(tmp_path / "cmp/markdown")).collect()}
+    assert "| nsw | 10 | 11 | +10.0% | ok |" in text and len(text) == 4
+
+
+def test_the_base_is_shuffled_once_without_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        documents = documents_of(spark, "/root/testdata/sf0.001")
+        plan = documents._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    wide = [line for line in plan.splitlines() if "FileScan" in line and "c_acctbal" in line]
+    assert len(wide) == 1  # other scans of the base read the key columns only
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert sum("Exchange" in line for line in _ancestors(plan.splitlines(), wide[0])) == 1
+
+
+def _ancestors(lines, leaf):
+    """The operators above a leaf of a plan printed as a tree."""
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+
+    found, level = [], depth(leaf)
+    for line in reversed(lines[: lines.index(leaf)]):
+        if depth(line) < level:
+            found.append(line)
+            level = depth(line)
+    return found
+
+
 def test_a_version_is_loaded_once(spark, built, tmp_path):
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         load_base(spark, landing.register_files(tmp_path), built["tables"], VERSION)

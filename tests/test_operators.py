@@ -133,7 +133,7 @@ def test_pages_hold_a_hot_group_whole_and_in_order(spark):
         F.hash("id").alias("v"),
         "id",
     )
-    pages = op.nest_pages(child, "k", "x", {"id": F.col("id")}, ["v", "id"], 12)
+    pages = op.nest_pages(child, "k", "x", {"id": F.col("id")}, ["v", "id"], 1700)
     hot = pages.where("k = 'hot'").orderBy("page").collect()
     assert len(hot) > 8 and max(len(r["x"]) for r in hot) < 4000
     ids = [v["id"] for r in hot for v in r["x"]]
