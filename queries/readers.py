@@ -13,11 +13,24 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from entityfold.functions import iso, to_cents
-from entityfold.operators import bucket_counts, extract_releases, spend_by_supplier
+from entityfold.operators import (
+    bucket_counts,
+    compare_counts,
+    extract_releases,
+    spend_by_supplier,
+)
 from entityfold.operators.aggregate import awards_by_recipient, distinct_releases
 from entityfold.plans import normalise
 from entityfold.session import fresh_folder
-from entityfold.sinks import build_manifest, merge_shards, write_ndjson, write_shards
+from entityfold.sinks import (
+    build_manifest,
+    merge_shards,
+    write_awards,
+    write_bundle,
+    write_comparison,
+    write_ndjson,
+    write_shards,
+)
 from entityfold.sources import (
     decode_workbooks,
     delimited_facts,
@@ -376,6 +389,55 @@ def merged_shards(spark, d):
     return merge_shards(spark, folder)
 
 
+@query("""
+    SELECT aggregate, CAST(n AS BIGINT) AS records
+    FROM (SELECT count(*) AS n FROM orders), (VALUES (true), (false)) v(aggregate)
+""")
+def release_bundle(spark, d):
+    """Shards, and the bundle that repeats them: both hold every record once."""
+    orders, folder = _shards(spark, d)
+    manifest = build_manifest(spark, folder, bucket_counts(orders, "state"))
+    both = write_bundle(spark, folder, fresh_folder(spark, "bundle"), manifest)
+    return both.groupBy("aggregate").agg(F.sum("records").alias("records"))
+
+
+@query("""
+    SELECT '| ' || bucket || ' | ' || p || ' | ' || c || ' | '
+           || printf('%+.1f%%', 100.0 * (c - p) / p) || ' | '
+           || CASE WHEN abs(c - p) > 0.02 * p THEN 'moved' ELSE 'ok' END || ' |' AS line
+    FROM (SELECT lower(o_orderpriority) AS bucket, count(*) FILTER (o_orderstatus <> 'P') AS c,
+                 count(*) FILTER (o_orderstatus <> 'F') AS p
+          FROM orders GROUP BY 1)
+    UNION ALL SELECT '| bucket | prior orders | current orders | change | status |'
+    UNION ALL SELECT '|---|---|---|---|---|'
+""")
+def comparison_report(spark, d):
+    orders = table(spark, d, "orders")
+    current = bucket_counts(orders.where("o_orderstatus <> 'P'"), "o_orderpriority")
+    prior = bucket_counts(orders.where("o_orderstatus <> 'F'"), "o_orderpriority")
+    folder = fresh_folder(spark, "comparison")
+    write_comparison(compare_counts(current, prior, "bucket", 0.02), folder, "orders")
+    return spark.read.text(f"{folder}/markdown").withColumnRenamed("value", "line")
+
+
+@query("""
+    SELECT CAST(o_custkey AS VARCHAR) AS abn,
+           CAST(CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS VARCHAR) AS cents,
+           count(*) AS grants
+    FROM orders GROUP BY o_custkey
+""")
+def awards_file(spark, d):
+    awards = table(spark, d, "orders").select(
+        F.col("o_custkey").cast("string").alias("recipient"),
+        to_cents(F.col("o_totalprice")).alias("cents"),
+        F.to_date("o_orderdate").alias("published"),
+    )
+    folder = fresh_folder(spark, "awards")
+    write_awards(awards_by_recipient(awards), folder)
+    held = spark.read.schema("abn string, totalValueCents string, grantCount bigint").json(folder)
+    return held.toDF("abn", "cents", "grants")
+
+
 @query("""
     SELECT concat('{"_id":', o_orderkey, ',"status":"', o_orderstatus, '"}') AS value FROM orders
 """)
