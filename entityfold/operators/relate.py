@@ -199,7 +199,10 @@ def two_path(
     by_key = latest_per_key(dim, dim_key, order).select(
         F.col(dim_key).alias("__dim_key"), value.alias(other)
     )
-    found = lookup_guarded(
-        base.join(by_id, base_id, "left"), by_key, base_key, "__dim_key", guard, base_id, hot_rows
+    # The look-up first: it also counts its keys, and should count them on the base alone.
+    found = lookup_guarded(base, by_key, base_key, "__dim_key", guard, base_id, hot_rows)
+    return (
+        found.join(by_id, base_id, "left")
+        .withColumn(name, F.coalesce(direct, other))
+        .drop(direct, other)
     )
-    return found.withColumn(name, F.coalesce(direct, other)).drop(direct, other)

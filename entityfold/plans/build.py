@@ -28,7 +28,7 @@ from entityfold.plans import fixed_values as fixed
 from entityfold.plans.contract import contract_rules, coverage_counters, coverage_floors
 from entityfold.plans.document import build_documents, version_date
 from entityfold.plans.normalise import SourceSpec
-from entityfold.sinks import build_manifest, write_metadata, write_shards
+from entityfold.sinks import build_manifest, shard_order_breaks, write_metadata, write_shards
 from entityfold.sources import (
     pick_snapshot,
     read_delimited,
@@ -56,6 +56,8 @@ def typed_source(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
             raw = read_workbook_grid(spark, path)
         case "releases":
             raw = read_ocds(spark, path)
+            if raw.isEmpty():
+                raise GateError(f"no releases in {path}")
         case "grants":
             raw = read_grant_awards(read_workbook_grid(spark, path))
             capped = flag_capped_chunks(raw, "path", fixed.GRANT_REPORT_CAP).where("capped")
@@ -242,6 +244,7 @@ def build_release(
     write_shards(docs, f"{out}/shards", "state", shards=shards)
     counts = bucket_counts(docs, "state")
     manifest = build_manifest(spark, f"{out}/shards", counts)
+    require_empty(shard_order_breaks(spark, f"{out}/shards"), "shard is not in order of its ids")
     sources = spark.createDataFrame(
         fixed.ATTRIBUTIONS, "source string, name string, licence string, attribution string"
     )

@@ -5,6 +5,7 @@ from entityfold.sinks.shards import (
     json_line,
     merge_shards,
     read_shards,
+    shard_order_breaks,
     write_awards,
     write_bundle,
     write_comparison,
@@ -18,6 +19,7 @@ __all__ = [
     "json_line",
     "merge_shards",
     "read_shards",
+    "shard_order_breaks",
     "write_awards",
     "write_bundle",
     "write_comparison",

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from entityfold.functions import bucket_key
 from entityfold.operators.compare import reconcile, shard_total
 from entityfold.operators.gates import GateError, require_empty
+from entityfold.operators.verify import order_breaks
 
 _LINE = "value"
 
@@ -79,6 +80,19 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def shard_order_breaks(spark: SparkSession, path: str, id_column: str = "_id") -> DataFrame:
+    """(shard, position, id, previous): lines whose id is not above that of the line before.
+
+    A compressed shard is read by one task, so row numbers run through it without gaps.
+    """
+    lines = read_shards(spark, path).select(
+        "shard",
+        F.monotonically_increasing_id().alias("position"),
+        F.get_json_object(_LINE, f"$.{id_column}").alias("id"),
+    )
+    return order_breaks(lines, "shard", "position", "id")
+
+
 def merge_shards(spark: SparkSession, path: str, id_column: str = "_id") -> DataFrame:
     """The lines of all shards in one order of ids, over all buckets."""
     id_text = F.get_json_object(_LINE, f"$.{id_column}")

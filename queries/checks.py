@@ -202,6 +202,20 @@ def order_check(spark, d):
     return breaks.select("o_orderkey", "o_custkey", "previous")
 
 
+@query("""
+    SELECT event_id AS row_index, user_id, previous
+    FROM (SELECT event_id, user_id, lag(user_id) OVER (ORDER BY event_id) AS previous FROM events)
+    WHERE user_id <= previous
+""")
+def order_check_in_file(spark, d):
+    """Neighbouring rows by their place in the file; the file holds the events in order."""
+    events = table(spark, d, "events").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index"), "user_id"
+    )
+    breaks = op.order_breaks(events, "file", "row_index", "user_id")
+    return breaks.select("row_index", "user_id", "previous")
+
+
 def _issues(spark, d):
     orders = table(spark, d, "orders")
     rules = {

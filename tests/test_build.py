@@ -7,8 +7,10 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from entityfold.operators import GateError, bucket_counts
+from entityfold.plans import fixed_values as fixed
 from entityfold.plans.build import (
     build_release,
     choose_files,
@@ -18,12 +20,14 @@ from entityfold.plans.build import (
     read_dims,
     verify,
 )
+from entityfold.plans.contract import coverage_counters, coverage_floors
 from entityfold.plans.document import DOCUMENT_FIELDS
 from entityfold.plans.normalise import SOURCES
 from entityfold.sinks import (
     build_manifest,
     json_line,
     merge_shards,
+    shard_order_breaks,
     write_awards,
     write_bundle,
     write_comparison,
@@ -35,6 +39,74 @@ from tests.landing import BARE, CLASH, FIRM, GONE, MATCH, MONO, SOLE, TRUST
 
 VERSION = "2026.06.28"
 
+# The output contract. A change here is a change for every reader of the documents.
+DOCUMENT_SCHEMA = """
+    _id string,
+    _version string,
+    abnStatus string,
+    abnStatusFromDate string,
+    entityName string,
+    entityTypeCode string,
+    entityTypeText string,
+    givenName string,
+    familyName string,
+    acn string,
+    acnType string,
+    gstRegistered boolean,
+    gstStatusFromDate string,
+    recordLastUpdated string,
+    state string,
+    postcode string,
+    businessNames array<string>,
+    tradingNames array<string>,
+    otherNames array<string>,
+    dgr array<struct<name:string,statusFromDate:string>>,
+    registeredBusinessNames array<struct<
+        name:string, status:string, registrationDate:string, cancellationDate:string>>,
+    company struct<
+        acn:string, name:string, currentName:string, type:string, class:string,
+        subClass:string, status:string, registrationDate:string, deregistrationDate:string,
+        previousState:string, stateRegistrationNumber:string>,
+    charity struct<
+        name:string, status:string, size:string, subtype:string, registrationDate:string,
+        financials:struct<reportingPeriodStart:string, reportingPeriodEnd:string,
+        totalRevenue:decimal(38, 6), totalExpenses:decimal(38, 6), totalAssets:decimal(38,
+        6), totalLiabilities:decimal(38, 6), staffFullTimeEquivalent:decimal(38, 6),
+        volunteers:bigint>>,
+    financialServicesLicence struct<
+        number:string, name:string, startDate:string, conditions:string>,
+    creditLicence struct<
+        number:string, name:string, status:string, startDate:string, endDate:string>,
+    bannedDisqualified array<struct<
+        type:string, startDate:string, endDate:string, comment:string>>,
+    govSpend struct<
+        totalValueAud:decimal(38, 2), contractCount:bigint, firstContractDate:string,
+        lastContractDate:string>,
+    govGrants struct<
+        totalValueAud:decimal(38, 2), grantCount:bigint, firstGrantDate:string,
+        lastGrantDate:string>,
+    taxTransparency struct<
+        incomeYear:string, totalIncome:decimal(38, 2), taxableIncome:decimal(38, 2),
+        taxPayable:decimal(38, 2)>,
+    rdTaxIncentive struct<incomeYear:string,totalRdExpenditure:decimal(38,2)>,
+    afsAuthorisedRep struct<
+        number:string, licenceNumber:string, status:string, startDate:string, endDate:string>,
+    creditRep struct<number:string,licenceNumber:string,startDate:string,endDate:string>,
+    wgeaReporter struct<primaryAbn:string,primaryOrganisation:string>,
+    smsfAuditor struct<
+        number:string, status:string, registrationDate:string, suspensionStartDate:string,
+        suspensionEndDate:string>,
+    ageYears int,
+    isActive boolean,
+    flags struct<
+        isIndividual:boolean, isCompany:boolean, isCharity:boolean, isLicensed:boolean,
+        hasEnforcementAction:boolean, isDgr:boolean, hasGovContracts:boolean,
+        receivesGovGrants:boolean, isLargeCorporateTaxpayer:boolean,
+        claimsRdTaxIncentive:boolean, isAfsAuthorisedRep:boolean, isCreditRep:boolean,
+        isWgeaReporter:boolean, isSmsfAuditor:boolean, isExternalAdministration:boolean,
+        isStrikeOffInProgress:boolean, isDeregistered:boolean>
+"""
+
 
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
@@ -230,6 +302,15 @@ def test_shards_are_sorted_slices(spark, tmp_path):
     content = (tmp_path / "all" / one["shard"]).read_bytes()
     assert one["sha256"] == hashlib.sha256(content).hexdigest() and one["bytes"] == len(content)
 
+    assert shard_order_breaks(spark, path).isEmpty()
+    broken = files[0].read_bytes()
+    lines = gzip.decompress(broken).splitlines(keepends=True)
+    lines[3], lines[4] = lines[4], lines[3]
+    files[0].write_bytes(gzip.compress(b"".join(lines)))
+    (files[0].parent / f".{files[0].name}.crc").unlink()
+    breaks = shard_order_breaks(spark, path).collect()
+    assert [b["id"] for b in breaks] == [json.loads(lines[4])["_id"]]
+
     with pytest.raises(GateError, match="counts differ"):
         build_manifest(spark, path, bucket_counts(ids.where("_id <> '000007'"), "state"))
     with pytest.raises(GateError, match="no shards"):
@@ -317,6 +398,17 @@ def test_a_version_is_loaded_once(spark, built, tmp_path):
         load_base(spark, landing.register_files(tmp_path), built["tables"], VERSION)
 
 
+def test_every_table_is_attributed():
+    assert {source for source, *_ in fixed.ATTRIBUTIONS} == set(fixed.TABLES)
+    assert set(fixed.ROW_FLOORS) == {s.key for s in SOURCES} == set(fixed.TABLES) - {"abn"}
+
+
+def test_document_schema(built):
+    wanted = StructType.fromDDL(DOCUMENT_SCHEMA)
+    assert built["docs"].schema.simpleString() == wanted.simpleString()
+    assert set(coverage_counters()) - set(coverage_floors("production")) == {"businessNames", "dgr"}
+
+
 def test_checks_refuse_a_build_below_its_floors(built):
     verdict = verify(built["docs"], "production")
     assert not verdict.ok and not verdict.failures and not verdict.repeated_ids
@@ -340,6 +432,9 @@ def test_failed_source_is_reported_and_others_go_on(spark, tmp_path):
     assert "wgea_reporter.csv" in report.failures["wgea_reporter"]
     assert report.failures["asic_credit_rep"] == "1 rows, fewer than 2"
     assert report.rows == {"asic_credit_rep": 1, "gov_spend": 2}
+    Path(paths["gov_spend"]).write_bytes(gzip.compress(b'\n{"releases": []}\n'))
+    empty = load_sources(spark, specs[-1:], paths, str(tmp_path / "u"), VERSION, {})
+    assert "no releases" in empty.failures["gov_spend"]
     dims = read_dims(spark, str(tmp_path / "t"), VERSION)
     assert dims["wgea_reporter"].count() == 0 and dims["gov_spend"].count() == 2
 
