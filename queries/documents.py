@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from entityfold.functions import cents_to_money, to_cents
-from entityfold.operators import awards_by_recipient, check_documents, coverage, rule_counts
+from entityfold.operators import (
+    assert_group_bound,
+    awards_by_recipient,
+    check_documents,
+    coverage,
+    rule_counts,
+)
 from entityfold.plans import fixed_values as fixed
+from entityfold.plans.build import MAX_NESTED
 from entityfold.plans.contract import contract_rules, coverage_counters
 from entityfold.plans.document import build_documents, derive_flags
 from entityfold.sinks import json_line
@@ -188,7 +195,10 @@ def register_dims(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return build_documents(register_base(spark, d), register_dims(spark, d), VERSION)
+    dims = register_dims(spark, d)
+    assert_group_bound(dims["asic_business_name"], "abn", MAX_NESTED)
+    assert_group_bound(dims["asic_banned_disqualified"], "acn", MAX_NESTED)
+    return build_documents(register_base(spark, d), dims, VERSION)
 
 
 _TABLES_SQL = """

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from entityfold.operators import (
+    assert_group_bound,
     bridge_secondary,
     fanout_report,
     first_seen,
@@ -16,6 +17,7 @@ from entityfold.operators import (
     two_path,
 )
 from entityfold.operators.nest import collect_ordered
+from entityfold.plans.build import MAX_NESTED
 from queries.registry import big, query, table
 
 def _day():
@@ -110,6 +112,7 @@ def nest_many_objects(spark, d):
             F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("d"),
         )
     )
+    assert_group_bound(child, "c_custkey", MAX_NESTED)
     fields = {"key": F.col("o_orderkey")}
     base = table(spark, d, "customer").select("c_custkey")
     out = nest_many(base, child, "c_custkey", "orders", fields, ["d", "o_orderkey"])
@@ -126,7 +129,7 @@ def nest_many_in_pages(spark, d):
     """Three keys hold all rows; each is nested in pages, and the pages add up to the whole."""
     child = table(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
     fields = {"key": F.col("l_orderkey")}
-    pages = nest_pages(child, "l_returnflag", "x", fields, ["l_orderkey", "l_linenumber"], 5000)
+    pages = nest_pages(child, "l_returnflag", "x", fields, ["l_orderkey", "l_linenumber"], 20_000)
     keys = F.col("x.key")
     total = F.aggregate(keys, F.lit(0).cast("bigint"), lambda a, k: a + k)
     return pages.groupBy("l_returnflag").agg(
@@ -224,6 +227,7 @@ def bridge_by_secondary_key(spark, d):
     top = _top_supplier(spark, d).select(
         F.col("s_nationkey").alias("c_nationkey"), F.struct("s_name").alias("top")
     )
+    assert_group_bound(suppliers, "c_nationkey", MAX_NESTED)
     every = collect_ordered(
         suppliers, "c_nationkey", "every", {"name": F.col("s_name")}, ["s_name"]
     )
@@ -272,6 +276,7 @@ def nested_optional(spark, d):
 def no_fanout(spark, d):
     customers = table(spark, d, "customer").select("c_custkey")
     orders = table(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    assert_group_bound(orders, "c_custkey", MAX_NESTED)
     out = nest_many(
         customers, orders, "c_custkey", "o", {"k": F.col("o_orderkey")}, ["o_orderkey"]
     )
