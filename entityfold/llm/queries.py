@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityfold.llm import bpe, packing
-from entityfold.llm.common import table
+from entityfold.llm import bpe, langid, packing, simhash
+from entityfold.llm.common import fold, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -19,6 +19,14 @@ def op2_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), path, capacity=2048, end_id=0)
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    model = langid.fit(docs.where(~held_out))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
@@ -30,8 +38,14 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
+    "op6_language": op6_language,
     "op8_bpe": op8_bpe,
+    "op10_simhash": op10_simhash,
 }
 SQL: dict[str, str] = {}
