@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityfold.llm import bpe, langid, packing, simhash
+from entityfold.llm import bpe, langid, packing, simhash, substrings
 from entityfold.llm.common import fold, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -27,6 +27,12 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, folder, "documents"))
+    digest = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", digest)
+
+
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
@@ -45,6 +51,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
     "op6_language": op6_language,
+    "op7_substrings": op7_substrings,
     "op8_bpe": op8_bpe,
     "op10_simhash": op10_simhash,
 }
