@@ -25,7 +25,7 @@ from entityfold.llm.common import map_batches
 
 # Fixed value: the word pattern of byte-level vocabularies that name no pattern of their own.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-KEPT_FRAGMENTS = 300_000
+KEPT_FRAGMENTS = 200_000
 KEPT_LENGTH = 40
 
 
@@ -143,20 +143,37 @@ def decode(df: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...] = (
     return _mapped(df, ids, keep, "decoded string", lambda: Decoder(path).decode, pa.string())
 
 
+def round_trip(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: the columns ``keep``, ``ids`` and ``decoded``."""
+
+    def make():
+        encoder, decoder = Encoder(path), Decoder(path)
+
+        def both(value: str | None) -> tuple[bytes, str]:
+            ids = encoder.encode(value)
+            return ids, decoder.decode(ids)
+
+        return both
+
+    return _mapped(df, text, keep, "ids binary, decoded string", make, pa.binary(), pa.string())
+
+
 def _mapped(
-    df: DataFrame, source: str, keep: tuple[str, ...], field: str, make: Callable[[], Callable], kind: pa.DataType
+    df: DataFrame, source: str, keep: tuple[str, ...], added: str, make: Callable[[], Callable], *kinds: pa.DataType
 ) -> DataFrame:
     taken = df.select(*keep, df[source].alias("_source"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
+    names = [field.split(" ")[0] for field in added.split(", ")]
 
     def prepare():
         work = make()
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            values = [work(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
-            columns = [*batch.columns[:-1], pa.array(values, kind)]
-            return pa.RecordBatch.from_arrays(columns, [*keep, field.split(" ")[0]])
+            found = [work(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            values = [found] if len(kinds) == 1 else list(zip(*found, strict=True)) or [[]] * len(kinds)
+            columns = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*keep, *names])
 
         return run
 
-    return map_batches(taken, prepare, f"{fields}, {field}")
+    return map_batches(taken, prepare, f"{fields}, {added}")

@@ -38,6 +38,22 @@ def fold(key: str | Column, parts: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % F.lit(parts)
 
 
+def bounded_sample(df: DataFrame, key: str, label: str, per_label: int) -> DataFrame:
+    """About ``per_label`` rows of each label, or all if there are fewer, and ``_share``, the
+    part of the label's rows that was taken.
+
+    The rows of least key hash are taken, so the bound holds to within chance. ``label`` is a
+    class with few values; rows with a null label or key are left out.
+    """
+    rows = df.where(F.col(label).isNotNull() & F.col(key).isNotNull())
+    shares = {r[0]: min(1.0, per_label / r[1]) for r in rows.groupBy(label).count().collect()}
+    share = F.lit(0.0)
+    for value, part in sorted(shares.items()):
+        share = F.when(F.col(label) == F.lit(value), F.lit(part)).otherwise(share)
+    place = F.xxhash64(F.col(key).cast("string"), F.lit("sample")).cast("double") / 2.0**64 + 0.5
+    return rows.withColumn("_share", share).where(place <= F.col("_share"))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Small pieces of batches, so that what Python holds at once stays small."""
     for batch in batches:

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityfold.llm.common import map_batches
+from entityfold.llm.common import bounded_sample, map_batches
 
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
@@ -84,25 +84,18 @@ class LanguageModel:
         return names, scores
 
 
-def _bounded_sample(df: DataFrame, key: str, label: str, per_label: int) -> DataFrame:
-    """About ``per_label`` rows of each label, all if there are fewer: those of least key hash."""
-    share = df.groupBy(label).agg((F.lit(float(per_label)) / F.count("*")).alias("_share"))
-    place = (F.xxhash64(F.col(key).cast("string"), F.lit("sample")).cast("double") / 2.0**64) + 0.5
-    return df.join(share, label).where(place <= F.col("_share")).drop("_share")
-
-
 def fit(
     df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", per_language: int = PER_LANGUAGE
 ) -> LanguageModel:
     """Learn from rows with a label and a text.
 
-    ``per_language`` bounds the sample of a language (to within chance, by a hash of the key).
+    ``per_language`` bounds the sample of a language, see ``bounded_sample``.
     The priors are uniform. Without labelled rows the model knows no language.
     """
     labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(label).alias("_label")
     )
-    sample = _bounded_sample(labelled, "_key", "_label", per_language).select("_label", "_text")
+    sample = bounded_sample(labelled, "_key", "_label", per_language).select("_label", "_text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

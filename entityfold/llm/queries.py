@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityfold.llm import bpe, langid, packing, simhash, substrings
-from entityfold.llm.common import fold, table
+from entityfold.llm import bpe, langid, packing, quality, rules, simhash, substrings
+from entityfold.llm.common import fold, materialise, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -19,6 +19,21 @@ def op2_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), path, capacity=2048, end_id=0)
 
 
+def _training_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").where(fold("doc_id", 5) != 0)
+
+
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    machine = quality.fit(docs, _training_labels(spark, folder), "quality")
+    return quality.score(docs, machine).select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
@@ -35,8 +50,8 @@ def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
-    decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
-    return decoded.select(
+    coded = bpe.round_trip(table(spark, folder, "documents"), path)
+    return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -44,15 +59,24 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_rules(spark: SparkSession, folder: str) -> DataFrame:
+    stats = materialise(rules.statistics(table(spark, folder, "documents")), "statistics")
+    found = rules.fit(stats, _training_labels(spark, folder), "quality")
+    failed = rules.base_failed()
+    return stats.select("doc_id", *rules.BASE, failed.alias("base_failed"), (~failed & rules.kept(found)).alias("kept"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
+    "op3_quality": op3_quality,
     "op6_language": op6_language,
     "op7_substrings": op7_substrings,
     "op8_bpe": op8_bpe,
+    "op9_rules": op9_rules,
     "op10_simhash": op10_simhash,
 }
 SQL: dict[str, str] = {}
