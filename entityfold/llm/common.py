@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,21 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def least_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of 0 to n-1 the least number it reaches by links a-b; for what one task holds."""
+    root = np.arange(n)
+    while len(a):
+        least = np.minimum(root[a], root[b])
+        new = root.copy()
+        for ends in (a, b, root[a], root[b]):
+            np.minimum.at(new, ends, least)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    return root
+
+
 def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """Label every node of an undirected graph with the smallest node it can reach.
 

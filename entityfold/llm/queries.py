@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityfold.llm import bpe, langid, packing, quality, rules, simhash, substrings
+from entityfold.llm import bpe, covertree, langid, packing, quality, rules, simhash, substrings
 from entityfold.llm.common import fold, materialise, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op1_covertree(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.vector_links(table(spark, folder, "embeddings"), threshold=0.93)
+
+
 def op2_pack(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     return packing.pack_documents(table(spark, folder, "documents"), path, capacity=2048, end_id=0)
@@ -71,6 +75,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_covertree": op1_covertree,
     "op2_pack": op2_pack,
     "op3_quality": op3_quality,
     "op6_language": op6_language,

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityfold.llm.common import connected_components, map_batches, materialise
+from entityfold.llm.common import connected_components, least_reachable, map_batches, materialise
 
 MAX_BITS = 3
 MIN_SHARED_BYTES = 5
@@ -88,21 +88,8 @@ def _links(runs: np.ndarray, fps: np.ndarray) -> np.ndarray:
         at = at[(shared >= MIN_SHARED_BYTES) & (np.bitwise_count(apart) <= MAX_BITS)]
         left.append(at)
         right.append(at + d)
-    root = np.arange(n)
-    if left:
-        a, b = np.concatenate(left), np.concatenate(right)
-        while True:  # least index by links and by pointer jumping
-            least = np.minimum(root[a], root[b])
-            new = root.copy()
-            np.minimum.at(new, a, least)
-            np.minimum.at(new, b, least)
-            np.minimum.at(new, root[a], least)
-            np.minimum.at(new, root[b], least)
-            new = new[new]
-            if (new == root).all():
-                break
-            root = new
-    return root
+    a, b = (np.concatenate(x or [np.empty(0, np.int64)]) for x in (left, right))
+    return least_reachable(n, a, b)
 
 
 def _link_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
