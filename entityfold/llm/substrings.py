@@ -184,8 +184,10 @@ def repeated_spans(
     discard(paths)
     discard(contents)
     edges = materialise(_edges(met.where("not whole"), docs, window), "branches")
-    firsts = edges.groupBy("d1", "d2").agg(F.min("doc").alias("source"), F.max("doc").alias("last")).where("source < last")
-    single = edges.join(firsts.select("d1", "d2", "source"), ["d1", "d2"]).where("doc > source")
+    firsts = edges.groupBy("d1", "d2").agg(F.min("doc").alias("source"), F.max("doc").alias("last"))
+    # A table of its own, so that the join deals out both sides anew and can split a frequent edge.
+    firsts = materialise(firsts.where("source < last").drop("last"), "firsts")
+    single = edges.join(firsts, ["d1", "d2"]).where("doc > source")
     return met.where("whole").select("doc", "version", "start", "edges").union(
         single.select("doc", "version", "start", F.lit(1).alias("edges"))
     )
