@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityfold.llm import bpe, covertree, langid, packing, quality, rules, simhash, substrings
+from entityfold.llm import bpe, covertree, langid, licences, packing, quality, rules, sharding, simhash, substrings
 from entityfold.llm.common import fold, materialise, table
 
 BYTE_BPE = "byte_bpe_50k.json"
+SHARD_BYTES = 64 * 1024 * 1024
 
 
 def op1_covertree(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,6 +39,29 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    rows = materialise(table(spark, folder, "documents").select("doc_id", size.alias("n_bytes")), "sizes")
+    return sharding.assign_shards(rows, SHARD_BYTES)
+
+
+def shards_sql(limit: int) -> str:
+    return f"""
+        WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes,
+                          ('0x' || md5(coalesce(doc_id::VARCHAR, ''))[1:15])::BIGINT AS h FROM documents),
+        p AS (SELECT *, h >> (60 - depth) AS prefix FROM d, (SELECT unnest(range(61)) AS depth)),
+        b AS (SELECT depth, prefix, sum(n_bytes) AS shard_bytes, min(h) < max(h) AS many FROM p GROUP BY ALL),
+        f AS (SELECT p.*, shard_bytes, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS o
+              FROM p JOIN b USING (depth, prefix) WHERE shard_bytes <= {limit} OR NOT many)
+        SELECT doc_id, n_bytes, substr(lpad(bin(h), 60, '0'), 1, depth) AS shard, depth::INT AS depth,
+               0::BIGINT AS part, shard_bytes::BIGINT AS shard_bytes
+        FROM f WHERE o = 1"""
+
+
+def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
@@ -78,10 +102,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_covertree": op1_covertree,
     "op2_pack": op2_pack,
     "op3_quality": op3_quality,
+    "op4_sharding": op4_sharding,
+    "op5_licences": op5_licences,
     "op6_language": op6_language,
     "op7_substrings": op7_substrings,
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
     "op10_simhash": op10_simhash,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_sharding": shards_sql(SHARD_BYTES),
+    "op5_licences": licences.scan_sql(licences.TEMPLATES),
+}
