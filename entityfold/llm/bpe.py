@@ -13,15 +13,13 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
 
 import numpy as np
-import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from entityfold.llm.common import map_batches
+from entityfold.llm.common import add_columns
 
 # Fixed value: the word pattern of byte-level vocabularies that name no pattern of their own.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -135,12 +133,22 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] =
     A null text is an empty one and has no ids. Repeated rows give repeated rows. Columns that
     are not asked for are not read; a kept column must not be called ``ids``.
     """
-    return _mapped(df, text, keep, "ids binary", lambda: Encoder(path).encode, pa.binary())
+
+    def make():
+        encoder = Encoder(path)
+        return lambda texts: [[encoder.encode(t) for t in texts]]
+
+    return add_columns(df, keep, (text,), "ids binary", make)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id", "ids")) -> DataFrame:
     """The columns ``keep`` and ``decoded``: the text of the ids; null ids give an empty text."""
-    return _mapped(df, ids, keep, "decoded string", lambda: Decoder(path).decode, pa.string())
+
+    def make():
+        decoder = Decoder(path)
+        return lambda values: [[decoder.decode(v) for v in values]]
+
+    return add_columns(df, keep, (ids,), "decoded string", make)
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -149,31 +157,10 @@ def round_trip(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ..
     def make():
         encoder, decoder = Encoder(path), Decoder(path)
 
-        def both(value: str | None) -> tuple[bytes, str]:
-            ids = encoder.encode(value)
-            return ids, decoder.decode(ids)
-
-        return both
-
-    return _mapped(df, text, keep, "ids binary, decoded string", make, pa.binary(), pa.string())
-
-
-def _mapped(
-    df: DataFrame, source: str, keep: tuple[str, ...], added: str, make: Callable[[], Callable], *kinds: pa.DataType
-) -> DataFrame:
-    taken = df.select(*keep, df[source].alias("_source"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-    names = [field.split(" ")[0] for field in added.split(", ")]
-
-    def prepare():
-        work = make()
-
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [work(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
-            values = [found] if len(kinds) == 1 else list(zip(*found, strict=True)) or [[]] * len(kinds)
-            columns = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*keep, *names])
+        def run(texts: list[str | None]) -> list:
+            ids = [encoder.encode(t) for t in texts]
+            return [ids, [decoder.decode(i) for i in ids]]
 
         return run
 
-    return map_batches(taken, prepare, f"{fields}, {added}")
+    return add_columns(df, keep, (text,), "ids binary, decoded string", make)

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from entityfold.session import fresh_folder
 
@@ -78,6 +80,39 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+def add_columns(
+    df: DataFrame,
+    keep: tuple[str, ...],
+    sources: tuple[str, ...],
+    added: str,
+    make: Callable[[], Callable[..., list]],
+    rows: int = 256,
+) -> DataFrame:
+    """The columns ``keep`` and new ones computed in Python from the columns ``sources``.
+
+    ``make`` runs once per task; the function it returns takes a list of values per source and
+    gives a list or array of values per column of ``added`` (DDL). A source that is also kept is
+    sent once.
+    """
+    extra = [s for s in sources if s not in keep]
+    taken = df.select(*(df[c] for c in keep), *(df[c].alias(f"_source{i}") for i, c in enumerate(extra)))
+    place = [keep.index(s) if s in keep else len(keep) + extra.index(s) for s in sources]
+    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema), added])
+    arrow = to_arrow_schema(_parse_datatype_string(added))
+
+    def prepare() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        work = make()
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = work(*(batch.column(i).to_pylist() for i in place))
+            new = [pa.array(v, t) for v, t in zip(found, arrow.types, strict=True)]
+            return pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *new], [*keep, *arrow.names])
+
+        return run
+
+    return map_batches(taken, prepare, fields, rows)
+
+
 def least_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each of 0 to n-1 the least number it reaches by links a-b; for what one task holds."""
     root = np.arange(n)

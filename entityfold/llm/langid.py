@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityfold.llm.common import bounded_sample, map_batches
+from entityfold.llm.common import add_columns, bounded_sample
 
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
@@ -130,17 +130,6 @@ def predict(df: DataFrame, model: LanguageModel, text: str = "text", keep: tuple
     knows no language. Whole texts are read; ties go to the first language by name. Kept columns
     must not be called ``lang_pred`` or ``score``; others may have any name.
     """
-    spark = df.sparkSession
-    sent = spark.sparkContext.broadcast(model)
-    taken = df.select(*keep, df[text].alias("_text"))
-
-    def make():
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            names, scores = sent.value.score(batch.column(batch.num_columns - 1).to_pylist())
-            columns = [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            return pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
-
-        return run
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-    return map_batches(taken, make, f"{fields}, lang_pred string, score double", rows=64)
+    sent = df.sparkSession.sparkContext.broadcast(model)
+    make = lambda: lambda texts: list(sent.value.score(texts))
+    return add_columns(df, keep, (text,), "lang_pred string, score double", make, rows=64)

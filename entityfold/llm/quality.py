@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityfold.llm.common import bounded_sample, map_batches, materialise
+from entityfold.llm.common import add_columns, bounded_sample, map_batches, materialise
 
 WORD_BITS = 16
 WORD_NORM = 0.3
@@ -177,22 +177,18 @@ def score(
     not be called ``score``; others may have any name. Repeated rows score alike.
     """
     sent = df.sparkSession.sparkContext.broadcast(machine)
-    taken = df.select(*keep, df[text].alias("_text"), df[recorded].cast("long").alias("_n"))
 
     def make():
         buckets = _Buckets()
 
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts, lengths = (c.to_pylist() for c in batch.columns[-2:])
+        def run(texts: list[str | None], lengths: list[int | None]) -> list:
+            if not texts:
+                return [[]]
             found = [features(t, n, buckets) for t, n in zip(texts, lengths, strict=True)]
-            scores = np.empty(0)
-            if found:
-                index, value = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-                starts = np.r_[0, np.cumsum([len(f[0]) for f in found])[:-1]]
-                scores = _sigmoid(sent.value.margin(index, value, starts)[0].astype(np.float64))
-            return pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(scores)], [*keep, "score"])
+            index, value = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            starts = np.r_[0, np.cumsum([len(f[0]) for f in found])[:-1]]
+            return [_sigmoid(sent.value.margin(index, value, starts)[0].astype(np.float64))]
 
         return run
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-    return map_batches(taken, make, f"{fields}, score double", rows=64)
+    return add_columns(df, keep, (text, recorded), "score double", make, rows=64)

@@ -12,6 +12,7 @@ from entityfold.llm import bpe, covertree, langid, licences, packing, quality, r
 from entityfold.llm.common import fold, materialise, table
 
 BYTE_BPE = "byte_bpe_50k.json"
+LEAST_QUALITY = 0.3
 SHARD_BYTES = 64 * 1024 * 1024
 
 
@@ -24,18 +25,19 @@ def op2_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), path, capacity=2048, end_id=0)
 
 
-def _training_labels(spark: SparkSession, folder: str) -> DataFrame:
+def training_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of the documents that are not held out."""
     return table(spark, folder, "labels").where(fold("doc_id", 5) != 0)
 
 
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    machine = quality.fit(docs, _training_labels(spark, folder), "quality")
+    machine = quality.fit(docs, training_labels(spark, folder), "quality")
     return quality.score(docs, machine).select(
         "doc_id",
         F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
         "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"),
     )
 
 
@@ -89,7 +91,7 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_rules(spark: SparkSession, folder: str) -> DataFrame:
     stats = materialise(rules.statistics(table(spark, folder, "documents")), "statistics")
-    found = rules.fit(stats, _training_labels(spark, folder), "quality")
+    found = rules.fit(stats, training_labels(spark, folder), "quality")
     failed = rules.base_failed()
     return stats.select("doc_id", *rules.BASE, failed.alias("base_failed"), (~failed & rules.kept(found)).alias("kept"))
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityfold.llm.common import discard, map_batches, materialise
+from entityfold.llm.common import add_columns, discard, map_batches, materialise
 
 WINDOW = 50
 ANCHOR = 12
@@ -205,18 +205,20 @@ def remove_repeats(
     """
     spans = materialise(repeated_spans(df, key, text, window), "spans")
     packed = F.shiftleft(F.col("start").cast("long"), 32) + F.col("edges")
-    by_doc = spans.groupBy("doc", "version").agg(F.collect_list(packed).alias("_spans"))
-    docs = df.select(*keep, df[key].alias("doc"), F.xxhash64(df[text]).alias("version"), df[text].alias("_text"))
-    joined = docs.join(by_doc.hint("shuffle_hash"), ["doc", "version"], "left").select(*keep, "_text", "_spans")
+    by_doc = spans.groupBy(F.col("doc").alias("_span_doc"), F.col("version").alias("_span_version"))
+    by_doc = by_doc.agg(F.collect_list(packed).alias("_spans"))
+    docs = df.withColumns({"_doc": F.col(key), "_version": F.xxhash64(text)})
+    met = (F.col("_doc") == F.col("_span_doc")) & (F.col("_version") == F.col("_span_version"))
+    joined = docs.join(by_doc.hint("shuffle_hash"), met, "left")
 
     def make():
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        def run(texts: list[str | None], spans: list[list[int] | None]) -> list:
             n_words, n_removed, kept = [], [], []
-            for value, spans in zip(*(c.to_pylist() for c in batch.columns[-2:]), strict=True):
+            for value, own in zip(texts, spans, strict=True):
                 words = (value or "").encode().split()
                 n_words.append(len(words))
-                if spans:
-                    packed = np.array(spans, np.int64)
+                if own:
+                    packed = np.array(own, np.int64)
                     first = packed >> 32
                     depth = np.zeros(len(words) + 1, np.int64)
                     np.add.at(depth, first, 1)
@@ -224,10 +226,8 @@ def remove_repeats(
                     words = [words[i] for i in np.flatnonzero(np.cumsum(depth)[:-1] == 0).tolist()]
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words).decode())
-            columns = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())]
-            return pa.RecordBatch.from_arrays([*batch.columns[:-2], *columns], [*keep, "n_words", "n_removed", "kept_text"])
+            return [n_words, n_removed, kept]
 
         return run
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-    return map_batches(joined, make, f"{fields}, n_words long, n_removed long, kept_text string")
+    return add_columns(joined, keep, (text, "_spans"), "n_words long, n_removed long, kept_text string", make)
