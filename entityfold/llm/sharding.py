@@ -60,10 +60,13 @@ def assign_shards(df: DataFrame, limit: int, key: str = "doc_id", size: str = "n
     single hash value that is over ``limit``: its rows are cut into parts that fit, one that is
     alone over ``limit`` has a part of its own. Null keys are one key; repeated rows are rows of
     their own. ``df`` is read several times and should be a written table; it must not have
-    columns of the new names.
+    columns of the four new names.
     """
-    names = df.columns
-    pending = df.withColumn("h", key_hash(F.col(key))).withColumn("bytes", F.coalesce(F.col(size).cast("long"), F.lit(0)))
+    pending = df.select(
+        F.struct(*(df[c] for c in df.columns)).alias("row"),
+        key_hash(F.col(key)).alias("h"),
+        F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("bytes"),
+    )
     total = pending.agg(F.sum("bytes")).first()[0] or 0
     low, high = 0, min(MOST_BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + SPARE_BITS)
     done = []
@@ -73,7 +76,7 @@ def assign_shards(df: DataFrame, limit: int, key: str = "doc_id", size: str = "n
         done.append(found.where(F.col("depth") <= high))
         if high == HASH_BITS or directory.where(F.col("depth") > high).isEmpty():
             break
-        pending = found.where(F.col("depth") > high).select(*names, "h", "bytes")
+        pending = found.where(F.col("depth") > high).select("row", "h", "bytes")
         low, high = high + 1, min(HASH_BITS, high + 8)
     placed = done[0]
     for more in done[1:]:
@@ -81,7 +84,7 @@ def assign_shards(df: DataFrame, limit: int, key: str = "doc_id", size: str = "n
     bits = F.lpad(F.conv(F.col("h").cast("string"), 10, 2), HASH_BITS, "0")
     placed = placed.withColumn("shard", F.substring(bits, F.lit(1), F.col("depth")))
     whole = (F.col("shard_bytes") <= limit) | (F.col("n_rows") == 1)
-    out = [*names, "shard", "depth", "part", "shard_bytes"]
+    out = ["row.*", "shard", "depth", "part", "shard_bytes"]
     if placed.where(~whole).isEmpty():
         return placed.withColumn("part", F.lit(0).cast("long")).select(out)
     hot = materialise(placed.where(~whole), "hot")
