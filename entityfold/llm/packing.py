@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from entityfold.llm.bpe import Encoder
 from entityfold.llm.common import map_batches, materialise
 
-RANKED_TOGETHER = 50_000
+RANKED_TOGETHER = 4096
 
 
 def token_pieces(
