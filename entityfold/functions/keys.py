@@ -18,6 +18,11 @@ def digits(c: Column) -> Column:
     return F.regexp_replace(c, r"[^0-9]", "")
 
 
+def quick_digits(c: Column) -> Column:
+    """As ``digits``, without the regular expression for a text that is digits already."""
+    return F.when(F.translate(c, "0123456789", "") == "", c).otherwise(digits(c))
+
+
 def has_digits(c: Column, n: int) -> Column:
     """True when the text is exactly ``n`` digits."""
     return c.rlike(rf"^[0-9]{{{n}}}\z")

@@ -32,6 +32,11 @@ def parsed_number(text: Column) -> Column:
     return F.when(odd == "", text).try_cast("double")
 
 
+def amount_number(c: Column) -> Column:
+    """As ``parsed_number`` of the stripped text, without stripping it when it is plain."""
+    return F.coalesce(parsed_number(c), parsed_number(strip_white(c)))
+
+
 def finite(number: Column) -> Column:
     """Null for a number too large for a double."""
     return F.when(F.abs(number) < F.lit(float("inf")), number)

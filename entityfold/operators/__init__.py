@@ -23,7 +23,6 @@ from entityfold.operators.gates import (
     require_empty,
 )
 from entityfold.operators.nest import (
-    assert_group_bound,
     nest_many,
     nest_one,
     nest_pages,
@@ -50,7 +49,6 @@ from entityfold.operators.verify import (
 
 __all__ = [
     "GateError",
-    "assert_group_bound",
     "assert_no_fanout",
     "assert_unique",
     "awards_by_recipient",

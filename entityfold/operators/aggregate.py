@@ -11,9 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityfold.functions import digits, first_ten, to_cents
-from entityfold.functions.numbers import finite, parsed_number
-from entityfold.functions.text import strip_white
+from entityfold.functions import first_ten, to_cents
+from entityfold.functions.keys import quick_digits
+from entityfold.functions.numbers import amount_number, finite
 from entityfold.operators.relate import first_seen
 
 
@@ -30,7 +30,7 @@ def _party_keys(scheme: str, role: str, n_digits: int) -> Column:
     )
     ids = F.flatten(F.transform(with_role, identifiers))
     in_scheme = F.filter(ids, lambda i: F.coalesce(i["scheme"] == scheme, F.lit(False)))
-    cleaned = F.transform(in_scheme, lambda i: digits(i["id"]))
+    cleaned = F.transform(in_scheme, lambda i: quick_digits(i["id"]))
     right_size = F.filter(cleaned, lambda k: F.length(k) == n_digits)
     return F.coalesce(F.array_distinct(right_size), F.array().cast("array<string>"))
 
@@ -48,12 +48,13 @@ def extract_releases(
     date. Narrow on purpose: this is what the de-duplication shuffles.
     """
     contracts = F.coalesce("contracts", F.array().cast(releases.schema["contracts"].dataType))
-    # One step per transform: inside a lambda Spark evaluates a repeated part again.
-    texts = F.transform(contracts, lambda c: strip_white(c["value"]["amount"]))
-    numbers = F.transform(texts, parsed_number)
-    amounts = F.transform(numbers, lambda n: to_cents(finite(n)))
+    # One step per transform: inside a lambda Spark evaluates a repeated part again. Amounts
+    # are nearly always plain, so white space is looked for only where the plain form fails.
+    numbers = F.transform(contracts, lambda c: amount_number(c["value"]["amount"]))
     zero = F.lit(0).cast("bigint")
-    cents = F.aggregate(amounts, zero, lambda total, c: total + F.coalesce(c, zero))
+    cents = F.aggregate(
+        numbers, zero, lambda total, n: total + F.coalesce(to_cents(finite(n)), zero)
+    )
     signed = F.array_min(F.transform(contracts, lambda c: first_ten(c["dateSigned"])))
     return releases.select(
         "ocid",

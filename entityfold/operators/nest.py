@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityfold.operators.gates import require_empty
-
 _VALUE = "__value"
 _PAGE = "__page"
 
@@ -61,8 +59,8 @@ def nest_many(
 ) -> DataFrame:
     """Add the ordered list of child objects; an empty list where there is none.
 
-    A list is one value of one row, so a group must fit a row: check a child table
-    first with ``assert_group_bound``, and use ``nest_pages`` for larger groups.
+    A list is one value of one row, whatever its length. ``oversized_groups`` reports long
+    lists, ``nest_pages`` writes them as rows of bounded size.
     """
     lists = collect_ordered(child, on, name, fields, order)
     empty = F.array().cast(lists.schema[name].dataType)
@@ -70,16 +68,10 @@ def nest_many(
 
 
 def oversized_groups(child: DataFrame, on: str, limit: int) -> DataFrame:
-    """Keys with more child rows than one list may hold (counted with map-side combine)."""
+    """Keys with more child rows than ``limit``, as a report (counted with map-side combine)."""
     return child.where(F.col(on).isNotNull()).groupBy(on).count().where(F.col("count") > limit)
 
 
-def assert_group_bound(child: DataFrame, on: str, limit: int) -> DataFrame:
-    """Fail when a key has more child rows than one list may hold; return the child table."""
-    require_empty(oversized_groups(child, on, limit), f"more than {limit} rows to nest for a key")
-    return child
-
-
 def nest_pages(
     child: DataFrame,
     on: str,
@@ -93,13 +85,15 @@ def nest_pages(
     The rows are counted, then range-partitioned by key and order together into parts of
     about ``page_rows``. A hot key so runs over many parts, and every page is one
     contiguous, ordered slice of one part. Pages of a key, in page order, hold all of its
-    rows in order; page numbers have gaps.
+    rows in order; page numbers have gaps. Rows that are alike in everything are dealt over
+    pages by their number in the input, and may stand for one another.
     """
     keyed = child.where(F.col(on).isNotNull())
     parts = max(1, -(-keyed.count() // page_rows))
     ranged = (
         keyed.select(on, _sortable(order, fields).alias(_VALUE))
-        .repartitionByRange(parts, on, _VALUE)
+        .withColumn(_PAGE, F.monotonically_increasing_id())
+        .repartitionByRange(parts, on, _VALUE, _PAGE)
         .select(on, F.spark_partition_id().alias(_PAGE), _VALUE)
     )
     return (

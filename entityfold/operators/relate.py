@@ -6,7 +6,7 @@ Skew, in short:
   map task down to one row per key before the shuffle (``WindowGroupLimit``), so
   a hot key reaches its reducer as one row per map task.
 * A lookup key may be null, or one value, on a large part of the base. Rows that
-  cannot match are spread by their own id, and hot values are salted; the looked-up
+  cannot match take no part in the look-up, and hot values are salted; the looked-up
   row is repeated once per salt of a hot value and stays single for all others.
 """
 
@@ -69,8 +69,8 @@ def first_seen(
 def hot_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Values of ``key`` with more than ``hot_rows`` rows, and the parts to split each into.
 
-    Counted with map-side combine. There are at most (rows / hot_rows) such values,
-    which is what makes this small table safe to broadcast.
+    Counted with map-side combine. There are at most (rows / hot_rows) such values; whether
+    they are few enough to broadcast is left to Spark, which knows their size.
     """
     return (
         df.where(key.isNotNull())
@@ -87,21 +87,17 @@ def _salted_join(
     match: Column,
     dim_key: str,
     row_id: Sequence[str],
-    how: str,
     hot_rows: int,
 ) -> DataFrame:
-    """Join ``base`` to ``dim`` (one row per ``dim_key``) where ``match`` equals ``dim_key``."""
+    """Inner join of ``base`` to ``dim`` (one row per ``dim_key``) where ``match`` equals ``dim_key``."""
     keyed = base.withColumn(_KEY, match)
-    hot = F.broadcast(hot_keys(keyed, F.col(_KEY), hot_rows))
+    hot = hot_keys(keyed, F.col(_KEY), hot_rows)
     spread = F.xxhash64(*row_id)
     parts = F.coalesce(F.col(_PARTS), F.lit(1)).cast("bigint")
 
     left = (
         keyed.join(hot, F.col(_KEY) == F.col(_HOT), "left")
-        .withColumn(
-            _SALT,
-            F.when(F.col(_KEY).isNull(), spread).otherwise(F.pmod(spread, parts)),
-        )
+        .withColumn(_SALT, F.pmod(spread, parts))
         .drop(_HOT, _PARTS)
     )
     right = (
@@ -111,25 +107,7 @@ def _salted_join(
         .withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
         .drop(_HOT, _PARTS)
     )
-    return left.join(right, [_KEY, _SALT], how).drop(_KEY, _SALT)
-
-
-def lookup_guarded(
-    base: DataFrame,
-    dim: DataFrame,
-    base_key: str,
-    dim_key: str,
-    guard: Column,
-    row_id: str | Sequence[str],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Left join on a secondary key; rows that fail the guard stay, unmatched.
-
-    ``dim`` holds one row per ``dim_key``; the key itself is not in the result.
-    """
-    ids = [row_id] if isinstance(row_id, str) else list(row_id)
-    match = F.when(guard, F.col(base_key))
-    return _salted_join(base, dim, match, dim_key, ids, "left", hot_rows)
+    return left.join(right, [_KEY, _SALT]).drop(_KEY, _SALT)
 
 
 def bridge_secondary(
@@ -168,11 +146,37 @@ def bridge_secondary(
     )
     able = base.where(guard & F.col(base_key).isNotNull()).select(base_id, base_key)
     found = _salted_join(
-        able, together, F.col(base_key), "__side_key", [base_id], "inner", hot_rows
+        able, together, F.col(base_key), "__side_key", [base_id], hot_rows
     )
     return found.select(base_id, *sides)
 
 
+def lookup_guarded(
+    base: DataFrame,
+    dim: DataFrame,
+    base_key: str,
+    dim_key: str,
+    guard: Column,
+    row_id: str | Sequence[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Left join on a secondary key; rows that fail the guard stay, unmatched.
+
+    ``dim`` holds one row per ``dim_key``; the key itself is not in the result. ``row_id``
+    tells the base rows apart and is never null. The look-up itself moves only the id and the
+    secondary key (``bridge_secondary``); the wide base row meets the result on its id.
+    """
+    ids = [row_id] if isinstance(row_id, str) else list(row_id)
+    rest = [c for c in dim.columns if c != dim_key]
+    id_, value = ("__row", "__found")
+    row = F.col(ids[0]) if len(ids) == 1 else F.struct(*ids)
+    side = dim.select(F.col(dim_key).alias("__key2"), F.struct(*rest).alias(value))
+    narrow = base.select(row.alias(id_), F.col(base_key).alias("__key2"), guard.alias("__able"))
+    found = bridge_secondary(narrow, id_, "__key2", F.col("__able"), {value: side}, hot_rows)
+    joined = base.withColumn(id_, row).join(found, id_, "left")
+    return joined.select(*base.columns, *(F.col(value)[c].alias(c) for c in rest))
+
+
 def two_path(
     base: DataFrame,
     dim: DataFrame,
@@ -199,10 +203,13 @@ def two_path(
     by_key = latest_per_key(dim, dim_key, order).select(
         F.col(dim_key).alias("__dim_key"), value.alias(other)
     )
-    # The look-up first: it also counts its keys, and should count them on the base alone.
-    found = lookup_guarded(base, by_key, base_key, "__dim_key", guard, base_id, hot_rows)
+    narrow = base.select(base_id, F.col(base_key).alias("__dim_key"), guard.alias("__able"))
+    found = bridge_secondary(
+        narrow, base_id, "__dim_key", F.col("__able"), {other: by_key}, hot_rows
+    )
     return (
-        found.join(by_id, base_id, "left")
+        base.join(found, base_id, "left")
+        .join(by_id, base_id, "left")
         .withColumn(name, F.coalesce(direct, other))
         .drop(direct, other)
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from entityfold.operators import (
     GateError,
-    assert_group_bound,
+    assert_no_fanout,
     assert_unique,
     bucket_counts,
     check_documents,
@@ -41,9 +42,6 @@ from entityfold.sources import (
 )
 from entityfold.sources.snapshots import income_year_in, year_in
 
-# Most names or actions that one document may list.
-MAX_NESTED = 100_000
-
 
 def typed_source(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
     """Read one side register's file and bring it to its typed table."""
@@ -71,6 +69,33 @@ def _table(folder: str, version: str, name: str) -> str:
     return f"{folder}/version={version_date(version):%Y%m%d}/{name}"
 
 
+def publish(
+    rows: DataFrame, target: str, gate: Callable[[DataFrame], object] | None = None
+) -> DataFrame:
+    """Write a table beside its target, check it there, and only then move it into place.
+
+    After a failure nothing is at the target and nothing is left beside it. A table that is
+    already there is an error.
+    """
+    spark = rows.sparkSession
+    jvm = spark.sparkContext._jvm
+    final = jvm.org.apache.hadoop.fs.Path(target)
+    store = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.exists(final):
+        raise GateError(f"{target} is there already")
+    parent, _, name = target.rpartition("/")
+    beside = jvm.org.apache.hadoop.fs.Path(f"{parent}/_staging-{name}-{uuid.uuid4().hex}")
+    try:
+        rows.write.parquet(beside.toString())
+        if gate is not None:
+            gate(spark.read.schema(rows.schema).parquet(beside.toString()))
+        if not store.rename(beside, final):
+            raise GateError(f"{target} can't be put in place")
+    finally:
+        store.delete(beside, True)
+    return spark.read.schema(rows.schema).parquet(target)
+
+
 def choose_files(spark: SparkSession, landing: str, specs: list[SourceSpec]) -> dict[str, str]:
     """The file of each source among the snapshots in ``landing/<source>/``.
 
@@ -114,10 +139,8 @@ class LoadReport:
 
 def load_base(spark: SparkSession, paths: str | list[str], folder: str, version: str) -> DataFrame:
     """Load the register's XML files into the base table of a version: all of it or nothing."""
-    target = _table(folder, version, "abn")
     rows = register_rows(read_register_xml(spark, paths))
-    rows.write.mode("errorifexists").parquet(target)
-    return assert_unique(spark.read.schema(rows.schema).parquet(target), "abn")
+    return publish(rows, _table(folder, version, "abn"), lambda t: assert_unique(t, "abn"))
 
 
 def load_sources(
@@ -130,39 +153,46 @@ def load_sources(
 ) -> LoadReport:
     """Load the side registers, each on its own: one that fails does not stop the others.
 
-    ``floors`` defaults to the published ones. A source below its floor is a failure.
+    ``floors`` defaults to the published ones. A source that fails or gives fewer rows than
+    its floor leaves no table.
     """
     report = LoadReport()
     for spec in specs:
-        target = _table(folder, version, spec.key)
         floor = spec.floor if floors is None else floors.get(spec.key, 0)
+
+        def gate(loaded: DataFrame, spec: SourceSpec = spec, floor: int = floor) -> None:
+            report.rows[spec.key] = n = loaded.count()
+            if n < floor:
+                raise GateError(f"{n} rows, fewer than {floor}")
+
         try:
             if spec.key not in paths:
                 raise GateError("no file for this source")
-            typed_source(spark, spec, paths[spec.key]).write.mode("errorifexists").parquet(target)
-            loaded = spark.read.schema(fixed.TABLES[spec.key]).parquet(target).count()
+            rows = typed_source(spark, spec, paths[spec.key])
+            publish(rows, _table(folder, version, spec.key), gate)
         except Exception as error:  # noqa: BLE001 - reported per source, raised by the caller
-            report.failures[spec.key] = f"{type(error).__name__}: {error}"[:500]
-            continue
-        report.rows[spec.key] = loaded
-        if loaded < floor:
-            report.failures[spec.key] = f"{loaded} rows, fewer than {floor}"
+            report.failures[spec.key] = f"{type(error).__name__}: {error}"
     return report
 
 
-def read_dims(spark: SparkSession, folder: str, version: str) -> dict[str, DataFrame]:
-    """The typed side tables of a version; a table that was not loaded is empty."""
-    dims = {}
+def read_dims(
+    spark: SparkSession, folder: str, version: str, absent: Collection[str] = ()
+) -> dict[str, DataFrame]:
+    """The typed side tables of a version. Only those named in ``absent`` may be missing."""
+    dims, missing = {}, []
     for name, schema in fixed.TABLES.items():
         if name == "abn":
             continue
-        path = _table(folder, version, name)
         try:
-            dims[name] = spark.read.schema(schema).parquet(path)
+            dims[name] = spark.read.schema(schema).parquet(_table(folder, version, name))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
+            if name not in absent:
+                missing.append(name)
             dims[name] = spark.createDataFrame([], schema)
+    if missing:
+        raise GateError(f"side tables that were not loaded: {missing}")
     return dims
 
 
@@ -221,25 +251,30 @@ def build_release(
     profile: str = "production",
     shards: int | None = None,
     schema_version: str = "1",
+    report: LoadReport | None = None,
+    absent: Collection[str] = (),
 ) -> DataFrame:
     """Build, check and write the documents of a loaded version; return its bucket counts.
 
     The documents are written once as a table; checks, counts and shards all read that
-    table. Nothing is published under ``out`` unless the checks pass.
+    table. Neither the table nor anything under ``out`` is published unless the checks pass.
+    Sources that ``report`` calls failed, and side tables that are missing, stop the build
+    unless they are named in ``absent``.
     """
+    failed = {n: why for n, why in (report.failures if report else {}).items() if n not in absent}
+    if failed:
+        raise GateError(f"sources that were not loaded: {failed}")
     base = spark.read.schema(fixed.TABLES["abn"]).parquet(_table(folder, version, "abn"))
-    dims = read_dims(spark, folder, version)
-    assert_group_bound(dims["asic_business_name"], "abn", MAX_NESTED)
-    assert_group_bound(dims["asic_banned_disqualified"], "acn", MAX_NESTED)
+    dims = read_dims(spark, folder, version, absent)
 
-    table = _table(folder, version, "documents")
-    built = build_documents(base, dims, version)
-    built.write.mode("errorifexists").parquet(table)
-    docs = spark.read.schema(built.schema).parquet(table)
+    def gate(docs: DataFrame) -> None:
+        assert_no_fanout(base.select(F.col("abn").alias("_id")), docs.select("_id"), "_id")
+        verdict = verify(docs, profile)
+        if not verdict.ok:
+            raise GateError(f"documents are not fit to publish: {verdict}")
 
-    verdict = verify(docs, profile)
-    if not verdict.ok:
-        raise GateError(f"documents are not fit to publish: {verdict}")
+    built = build_documents(base, dims, version)
+    docs = publish(built, _table(folder, version, "documents"), gate)
 
     write_shards(docs, f"{out}/shards", "state", shards=shards)
     counts = bucket_counts(docs, "state")

@@ -61,7 +61,7 @@ def _reader(
         .option("escape", '"' if quoting else "")
         .option("multiLine", multi_line)
         .option("maxCharsPerColumn", -1)
-        .option("maxColumns", 65_536)
+        .option("maxColumns", len(names) + 1)
         # Spark checks the width of a record only when it parses all of it.
         .option("columnPruning", False)
     )
@@ -71,7 +71,7 @@ def _profile(facts: DataFrame, sep: str, quoting: bool) -> tuple[list[str], bool
     """The one header of all files, and whether any record runs over several lines.
 
     One job over the per-file facts; fails on a missing or differing header, on a quoted
-    field that never ends, and on a blank line.
+    field that never ends, and on a blank line outside quotes.
     """
     open_ended = F.col("quotes") % 2 == 1
     seen = facts.agg(
@@ -98,6 +98,31 @@ def _profile(facts: DataFrame, sep: str, quoting: bool) -> tuple[list[str], bool
     return labels, multi_line
 
 
+def gate_blank_records(
+    spark: SparkSession, path: str | list[str], facts: DataFrame, names: Sequence[str], sep: str
+) -> None:
+    """Fail when a file whose records run over several lines has a blank line between records.
+
+    Spark's reader passes over such lines. The lines of a file are those of its header and
+    its records, with their line breaks, so any line beyond these is a blank record.
+    """
+    breaks = sum(
+        (F.coalesce(F.regexp_count(F.col(n), F.lit(r"\r\n|\r|\n")), F.lit(0)) for n in names),
+        F.lit(0),
+    )
+    parsed = (
+        _reader(spark, names, sep, True, True)
+        .option("mode", "FAILFAST")
+        .csv(path)
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.sum(1 + breaks).alias("held"))
+    )
+    blank = facts.join(parsed, "path", "left").where(
+        F.col("lines") != 1 + F.coalesce("held", F.lit(0))
+    )
+    require_empty(blank.select("path", "lines", "held"), "blank line, fewer fields than the header")
+
+
 def _names(labels: Sequence[str], expected: Sequence[str] | None) -> list[str]:
     names = [safe_name(label) for label in labels]
     twice = sorted({n for n in names if names.count(n) > 1})
@@ -138,10 +163,13 @@ def gate_rectangular(
 
     Returns the header labels, and whether any record runs over several lines.
     """
-    labels, multi_line = _profile(delimited_facts(spark, path), sep, quoting)
+    facts = delimited_facts(spark, path)
+    labels, multi_line = _profile(facts, sep, quoting)
     names = [f"c{i}" for i in range(len(labels))]
     ragged = ragged_records(spark, path, names, sep, quoting, multi_line)
     require_empty(ragged, "record width differs from the header")
+    if multi_line and len(labels) > 1:
+        gate_blank_records(spark, path, facts, names, sep)
     return labels, multi_line
 
 
@@ -159,8 +187,12 @@ def read_delimited(
     later, and a wrong one fails the job; ``gate_rectangular`` checks it ahead instead.
 
     Files are read in splits. Only files with line breaks inside quotes have to be read
-    one task to a file, which the first pass finds out.
+    one task to a file, which the first pass finds out; they are also parsed once more, to
+    find blank lines between their records.
     """
-    labels, multi_line = _profile(delimited_facts(spark, path), sep, quoting)
+    facts = delimited_facts(spark, path)
+    labels, multi_line = _profile(facts, sep, quoting)
     names = _names(labels, expected_cols)
+    if multi_line and len(names) > 1:
+        gate_blank_records(spark, path, facts, names, sep)
     return _reader(spark, names, sep, quoting, multi_line).option("mode", "FAILFAST").csv(path)

@@ -41,8 +41,57 @@ def _pieces(spark: SparkSession, paths: str | list[str], record_tag: str) -> Dat
     )
 
 
+def _attributes() -> str:
+    return r"""(?:[^<>"']|"[^"]*"|'[^']*')*?"""
+
+
 def _starts(c: Column, tag: str) -> Column:
-    return c.rlike(rf"<{tag}[\s>]")
+    return c.rlike(rf"<{tag}[\s/>]")
+
+
+def _without_comments(value: Column) -> Column:
+    return F.when(
+        value.contains("<!--"), F.regexp_replace(value, r"(?s)<!--.*?-->", "")
+    ).otherwise(value)
+
+
+def _elements(value: Column, tag: str) -> Column:
+    """The text from each record start of a piece up to the next one, or to the piece's end."""
+    after = F.split(F.concat(F.lit(" "), value), rf"(?=<{tag}[\s/>])")
+    return F.slice(after, 2, F.size(after))
+
+
+def _empty_element(element: Column, tag: str) -> Column:
+    return element.rlike(rf"^<{tag}(?:\s{_attributes()})?/>")
+
+
+def _open_element(element: Column, tag: str) -> Column:
+    """Neither an empty element nor closed by an end tag inside the piece."""
+    return ~_empty_element(element, tag) & ~element.rlike(rf"</{tag}\s*>")
+
+
+def _records(value: Column, tag: str) -> Column:
+    """Every record of a piece as one XML text.
+
+    Most pieces hold one record that ends with the piece. Empty elements and end tags with
+    white space in them do not end a piece, so a piece may hold several records. A record
+    that is open before another starts is left open, which the parser refuses.
+    """
+    end = F.lit(f"</{tag}>")
+    found = _elements(value, tag)
+    last = F.size(found) - 1
+
+    def whole(element: Column, at: Column) -> Column:
+        empty = F.regexp_extract(element, rf"^<{tag}(?:\s{_attributes()})?/>", 0)
+        closed = F.regexp_extract(element, rf"(?s)^.*?</{tag}\s*>", 0)
+        return (
+            F.when(_empty_element(element, tag), empty)
+            .when(element.rlike(rf"</{tag}\s*>"), closed)
+            .when(at == last, F.concat(element, end))
+            .otherwise(element)
+        )
+
+    return F.transform(found, whole)
 
 
 def gate_whole_documents(
@@ -51,20 +100,30 @@ def gate_whole_documents(
     record_tag: str = RECORD_TAG,
     root_tag: str = ROOT_TAG,
 ) -> None:
-    """Fail when a file was cut off: its root is not closed, or a record lies open at its end."""
-    value = F.col("value")
+    """Fail when a file was cut off: its root is not closed, or a record lies open at its end.
+
+    A comment that holds a record's end tag is cut by it and fails here, too.
+    """
+    value = _without_comments(F.col("value"))
     closed = value.contains(f"</{root_tag}>")
+    # An empty array has no last element: null, no open record.
+    last = F.try_element_at(_elements(value, record_tag), F.lit(-1))
+    opened = closed & F.coalesce(_open_element(last, record_tag), F.lit(False))
     files = (
         _pieces(spark, paths, record_tag)
         .groupBy("path")
         .agg(
             F.count_if(_starts(value, root_tag)).alias("roots"),
             F.count_if(closed).alias("closed_roots"),
-            F.count_if(closed & _starts(value, record_tag)).alias("open_records"),
+            F.count_if(opened).alias("open_records"),
+            F.count_if(value.contains("<!--")).alias("cut_comments"),
         )
     )
     sound = (
-        (F.col("roots") == 1) & (F.col("closed_roots") == 1) & (F.col("open_records") == 0)
+        (F.col("roots") == 1)
+        & (F.col("closed_roots") == 1)
+        & (F.col("open_records") == 0)
+        & (F.col("cut_comments") == 0)
     )
     require_empty(files.where(~sound), "not one whole XML document")
 
@@ -76,18 +135,18 @@ def read_register_xml(
     schema: str = RECORD_SCHEMA,
     root_tag: str = ROOT_TAG,
 ) -> DataFrame:
-    """One row per record element, in the given schema. A malformed record fails the job.
+    """One row per record start, in the given schema. A malformed record fails the job.
 
-    The text is cut at the record's end tag, so that large files are read by many tasks.
+    The text is cut at the record's end tag, so that large files are read by many tasks, and
+    then at every record start, so that each start gives one row or an error.
     """
     gate_whole_documents(spark, paths, record_tag, root_tag)
-    record = F.concat(
-        F.regexp_extract("value", rf"(?s)<{record_tag}[\s>].*$", 0), F.lit(f"</{record_tag}>")
-    )
+    value = _without_comments(F.col("value"))
     return (
         _pieces(spark, paths, record_tag)
-        .where(_starts(F.col("value"), record_tag))
-        .select(F.from_xml(record, schema, {"mode": "FAILFAST"}).alias("r"))
+        .where(F.col("value").contains(f"<{record_tag}"))
+        .select(F.explode(_records(value, record_tag)).alias("record"))
+        .select(F.from_xml("record", schema, {"mode": "FAILFAST"}).alias("r"))
         .select("r.*")
     )
 

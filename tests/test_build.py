@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from entityfold.operators import GateError, bucket_counts
 from entityfold.plans import fixed_values as fixed
 from entityfold.plans.build import (
+    LoadReport,
     build_release,
     choose_files,
     compare_releases,
@@ -394,10 +395,24 @@ def _ancestors(lines, leaf):
 
 
 def test_a_version_is_loaded_once(spark, built, tmp_path):
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(GateError, match="is there already"):
         load_base(spark, landing.register_files(tmp_path), built["tables"], VERSION)
 
 
+def test_a_failed_load_leaves_nothing(spark, tmp_path):
+    tables = tmp_path / "t"
+    files = landing.register_files(tmp_path)
+    text = Path(files[0]).read_text()
+    bad = tmp_path / "bad.xml"
+    for broken in (text, text.replace("</GivenName>", "", 1)):  # repeated keys, malformed
+        bad.write_text(broken)
+        with pytest.raises(Exception, match="null or repeated key|MALFORMED|Malformed"):
+            load_base(spark, [*files, str(bad)], str(tables), VERSION)
+        assert list(tables.glob("*/*")) == []
+    load_base(spark, files, str(tables), VERSION)
+    assert [p.name for p in tables.glob("*/*")] == ["abn"]
+
+
 def test_every_table_is_attributed():
     assert {source for source, *_ in fixed.ATTRIBUTIONS} == set(fixed.TABLES)
     assert set(fixed.ROW_FLOORS) == {s.key for s in SOURCES} == set(fixed.TABLES) - {"abn"}
@@ -430,21 +445,33 @@ def test_failed_source_is_reported_and_others_go_on(spark, tmp_path):
     floors = {"asic_credit_rep": 2}
     report = load_sources(spark, specs, paths, str(tmp_path / "t"), VERSION, floors)
     assert "wgea_reporter.csv" in report.failures["wgea_reporter"]
-    assert report.failures["asic_credit_rep"] == "1 rows, fewer than 2"
+    assert report.failures["asic_credit_rep"] == "GateError: 1 rows, fewer than 2"
     assert report.rows == {"asic_credit_rep": 1, "gov_spend": 2}
+    assert [p.name for p in (tmp_path / "t").glob("*/*")] == ["gov_spend"]
+    again = load_sources(spark, specs[:1], paths, str(tmp_path / "t"), VERSION, {})
+    assert set(again.failures) | set(again.rows)  # nothing is in the way of a second load
     Path(paths["gov_spend"]).write_bytes(gzip.compress(b'\n{"releases": []}\n'))
     empty = load_sources(spark, specs[-1:], paths, str(tmp_path / "u"), VERSION, {})
     assert "no releases" in empty.failures["gov_spend"]
-    dims = read_dims(spark, str(tmp_path / "t"), VERSION)
-    assert dims["wgea_reporter"].count() == 0 and dims["gov_spend"].count() == 2
+    with pytest.raises(GateError, match="wgea_reporter"):
+        read_dims(spark, str(tmp_path / "t"), VERSION)
+    dims = read_dims(spark, str(tmp_path / "t"), VERSION, absent=set(fixed.TABLES) - {"gov_spend"})
+    assert dims["wgea_reporter"].isEmpty() and dims["gov_spend"].count() == 2
 
 
 def test_release_needs_complete_sources(spark, tmp_path):
     tables = str(tmp_path / "t")
     load_base(spark, landing.register_files(tmp_path), tables, VERSION)
+    out, every = str(tmp_path / "out"), set(fixed.TABLES)
+    with pytest.raises(GateError, match="not loaded"):
+        build_release(spark, tables, VERSION, out, profile="off")
+    with pytest.raises(GateError, match="grants': 'no file"):
+        failed = LoadReport(failures={"grants": "no file"})
+        build_release(spark, tables, VERSION, out, profile="off", report=failed, absent=every)
     with pytest.raises(GateError, match="company: 0 < required 1"):
-        build_release(spark, tables, VERSION, str(tmp_path / "out"), profile="fixture")
+        build_release(spark, tables, VERSION, out, profile="fixture", absent=every)
     assert not (tmp_path / "out").exists()
+    assert [p.name for p in (tmp_path / "t").glob("*/*")] == ["abn"]
 
 
 def test_compare_releases(rows, built):

@@ -82,6 +82,21 @@ def test_lookup_is_the_same_whatever_the_skew(spark, skewed, hot_rows, broadcast
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_the_wide_base_is_not_moved_by_its_secondary_key(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = spark.range(100).select("id", F.hash("id").alias("key"), F.lit("wide").alias("text"))
+        base = base.withColumn("wide", F.concat("text", F.uuid()))
+        dim = spark.range(50).select(F.hash("id").alias("dk"), F.col("id").alias("v"))
+        guard = F.col("id") % 3 > 0
+        out = op.lookup_guarded(base, dim, "key", "dk", guard, "id")
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan if "Exchange hashpartitioning" in line]
+    assert exchanges and len([line for line in plan if "uuid" in line]) == 1
+
+
 def test_hot_keys(rows):
     df = rows([("a",)] * 7 + [("b",)] * 3 + [(None,)] * 9, "k string")
     assert as_tuples(op.hot_keys(df, F.col("k"), 3)) == [("a", 3)]
@@ -141,11 +156,19 @@ def test_pages_hold_a_hot_group_whole_and_in_order(spark):
     assert ids == [r["id"] for r in want]
 
 
-def test_group_bound(rows):
-    child = rows([(1,), (1,), (2,)], "k int")
-    assert op.assert_group_bound(child, "k", 2) is child
-    with pytest.raises(GateError, match="more than 1 rows"):
-        op.assert_group_bound(child, "k", 1)
+def test_long_lists(spark, rows):
+    child = rows([(1,), (1,), (2,), (None,)], "k int")
+    assert [tuple(r) for r in op.oversized_groups(child, "k", 1).collect()] == [(1, 2)]
+    alike = spark.range(300_000).select(F.lit("k").alias("k"), F.lit(1).alias("v"))
+    pages = op.nest_pages(alike, "k", "x", {"v": F.col("v")}, ["v"], 20_000)
+    sizes = [r["n"] for r in pages.select(F.size("x").alias("n")).collect()]
+    assert sum(sizes) == 300_000 and len(sizes) >= 12 and max(sizes) < 40_000
+    base = rows([("k",), ("z",)], "k string")
+    nested = op.nest_many(base, alike.limit(150_000), "k", "x", {"v": F.col("v")}, ["v"])
+    assert {r["k"]: r["n"] for r in nested.select("k", F.size("x").alias("n")).collect()} == {
+        "k": 150_000,
+        "z": 0,
+    }
 
 
 def test_fanout(rows):

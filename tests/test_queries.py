@@ -6,7 +6,7 @@ import __spark_entry__ as contract
 from queries import QUERIES
 from tests import oracle
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -14,15 +14,24 @@ def con():
     return oracle.connect(FOLDER)
 
 
+@pytest.fixture(scope="module")
+def larger():
+    return oracle.connect(LARGER)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_agrees_with_sql(spark, con, name):
+def test_query_agrees_with_sql(spark, con, larger, name):
     query = QUERIES[name]
     assert query.sql is not None
-    assert oracle.difference(spark, con, query, FOLDER) in (None, "no rows")
+    found = oracle.difference(spark, con, query, FOLDER)
+    if found == "no rows":  # too few rows in the smallest tables for this one
+        found = oracle.difference(spark, larger, query, LARGER)
+    assert found is None
 
 
 def test_contract(spark):
-    assert set(contract.queries()) == set(contract.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.oracle_sql())
     df = contract.entry(spark)
     assert df.count() == 150
     assert df.columns[:3] == ["id", "status", "name"]

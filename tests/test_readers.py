@@ -71,10 +71,9 @@ def test_ragged_rows(spark, tmp_path, row):
     path = write(tmp_path, f"a,b\n1,2\n{row}\n3,4\n")
     with pytest.raises(GateError, match="width differs"):
         gate_rectangular(spark, path, ",", quoting=True)
-    df = read_delimited(spark, path, ",", quoting=True)
-    for use in (df.count, df.select("a").collect, df.select("b").collect):
+    for use in (lambda df: df.count(), lambda df: df.select("a").collect(), lambda df: df.select("b").collect()):
         with pytest.raises(Exception, match="MALFORMED_RECORD"):
-            use()
+            use(read_delimited(spark, path, ",", quoting=True))
 
 
 def test_ragged_literal_row(spark, tmp_path):
@@ -90,6 +89,16 @@ def test_blank_line(spark, tmp_path):
         read_delimited(spark, write(tmp_path, "a,b\n\n1,2\n"), ",", quoting=True)
 
 
+def test_blank_line_among_records_with_line_breaks(spark, tmp_path):
+    whole = write(tmp_path, 'a,b\n1,"x\ny"\n3,"\n\n"\n', "whole.csv")
+    assert len(tuples(read_delimited(spark, whole, ",", quoting=True))) == 2
+    for text in ('a,b\n1,"x\ny"\n\n3,4\n', 'a,b\n1,"x\ny"\n3,4\n\n', 'a,b\n\n1,"x\ny"\n'):
+        with pytest.raises(GateError, match="blank line"):
+            read_delimited(spark, write(tmp_path, text), ",", quoting=True)
+        with pytest.raises(GateError, match="blank line"):
+            gate_rectangular(spark, write(tmp_path, text), ",", quoting=True)
+
+
 def test_unterminated_quote(spark, tmp_path):
     path = write(tmp_path, 'a,b\n1,"open\n2,3\n')
     with pytest.raises(GateError, match="unterminated"):
@@ -112,6 +121,47 @@ def test_headers(spark, tmp_path):
 # --- register XML ---
 
 
+def keys(spark, tmp_path, body):
+    path = tmp_path / "t.xml"
+    path.write_text(f"<?xml version='1.0'?><Transfer><Info/>{body}</Transfer>")
+    return sorted(r["abn"] for r in register_rows(read_register_xml(spark, str(path))).collect())
+
+
+def record(n, end="</ABR>", start="<ABR>"):
+    return f"{start}<ABN>{n}</ABN>{end}"
+
+
+@pytest.mark.parametrize(
+    ("body", "found"),
+    [
+        (record(1, "</ABR >") + record(2) + record(3), ["1", "2", "3"]),
+        (record(1) + record(2, "</ABR\n>") + record(3, "</ABR >"), ["1", "2", "3"]),
+        ("<ABR a='x>/>'/>" + record(1), ["", "1"]),
+        (record(1) + "<ABR/>", ["", "1"]),
+        ("<ABR/><ABR />" + record(1, "</ABR >") + record(2), ["", "", "1", "2"]),
+        ("<!-- <ABR> -->" + record(1) + "<!-- a <ABR x --><!-- -->" + record(2), ["1", "2"]),
+        (record(1, start="<ABR\nx='1'>") + "<ABRX/>" + record(2), ["1", "2"]),
+        ("", []),
+    ],
+)
+def test_every_record_start_gives_a_row(spark, tmp_path, body, found):
+    assert keys(spark, tmp_path, body) == found
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<ABR><ABN>1</ABN>" + record(2),
+        record(1) + "<ABR><ABN>2</ABN>",
+        record(1) + "<!-- </ABR> -->" + record(2),
+        "<ABR><ABN>1</ABN><ABR/></ABR>" + record(2),
+    ],
+)
+def test_records_that_are_not_whole_are_an_error(spark, tmp_path, body):
+    with pytest.raises(Exception, match="MALFORMED|alformed|not one whole"):
+        keys(spark, tmp_path, body)
+
+
 def test_register_rows(spark, tmp_path):
     rows = {
         r["abn"]: r
