@@ -47,7 +47,7 @@ def check_unique(doc: DataFrame, key: str) -> DataFrame:
 def order_breaks(
     rows: DataFrame, file: str, position: str, key: str, block: int = 65_536
 ) -> DataFrame:
-    """(file, position, key, previous): rows whose key is not above that of the row before.
+    """(file, position, key, previous): rows whose key is null or not above the one before.
 
     ``position`` counts the rows of a file without gaps. Neighbours are compared inside
     blocks of positions, so a large file runs over many tasks; the first row of each
@@ -60,7 +60,10 @@ def order_breaks(
     pairs = seq.withColumn("previous", F.lag(key).over(within)).withColumn(
         "__first", F.row_number().over(within) == 1
     )
-    inside = pairs.where(~F.col("__first") & (F.col(key) <= F.col("previous")))
+    # A null key is out of order wherever it stands.
+    inside = pairs.where(
+        F.col(key).isNull() | (~F.col("__first") & (F.col(key) <= F.col("previous")))
+    )
 
     ends = seq.groupBy(file, "__block").agg(
         F.min_by(F.struct(position, key), position).alias("__head"),

@@ -29,7 +29,15 @@ from entityfold.plans import fixed_values as fixed
 from entityfold.plans.contract import contract_rules, coverage_counters, coverage_floors
 from entityfold.plans.document import build_documents, version_date
 from entityfold.plans.normalise import SourceSpec
-from entityfold.sinks import build_manifest, shard_order_breaks, write_metadata, write_shards
+from entityfold.sinks import (
+    build_manifest,
+    shard_order_breaks,
+    write_awards,
+    write_bundle,
+    write_comparison,
+    write_metadata,
+    write_shards,
+)
 from entityfold.sources import (
     pick_snapshot,
     read_delimited,
@@ -253,6 +261,9 @@ def build_release(
     schema_version: str = "1",
     report: LoadReport | None = None,
     absent: Collection[str] = (),
+    extracted: Mapping[str, str] | None = None,
+    prior: DataFrame | None = None,
+    threshold: float = 0.1,
 ) -> DataFrame:
     """Build, check and write the documents of a loaded version; return its bucket counts.
 
@@ -260,6 +271,10 @@ def build_release(
     table. Neither the table nor anything under ``out`` is published unless the checks pass.
     Sources that ``report`` calls failed, and side tables that are missing, stop the build
     unless they are named in ``absent``.
+
+    A release is shards, one bundle in order of ids, the awards per recipient, and metadata:
+    counts, files, and sources with the day each was extracted on (``extracted``, by source).
+    With ``prior``, the counts of the release before, it also has the comparison with it.
     """
     failed = {n: why for n, why in (report.failures if report else {}).items() if n not in absent}
     if failed:
@@ -278,12 +293,26 @@ def build_release(
 
     write_shards(docs, f"{out}/shards", "state", shards=shards)
     counts = bucket_counts(docs, "state")
-    manifest = build_manifest(spark, f"{out}/shards", counts)
     require_empty(shard_order_breaks(spark, f"{out}/shards"), "shard is not in order of its ids")
+    manifest = build_manifest(spark, f"{out}/shards", counts)
+    manifest = publish(manifest, f"{out}/manifest")  # hashed once, read by all that follow
+    files = write_bundle(spark, f"{out}/shards", f"{out}/bundle", manifest)
+    awards = dims["gov_grants"].select(
+        F.col("abn").alias("recipient"),
+        (F.col("total_value_aud") * 100).cast("bigint").alias("cents"),
+        F.col("grant_count").alias("awards"),
+        F.col("first_grant_date").alias("first_published"),
+        F.col("last_grant_date").alias("last_published"),
+    )
+    write_awards(awards, f"{out}/awards")
+    days = extracted or {}
     sources = spark.createDataFrame(
-        fixed.ATTRIBUTIONS, "source string, name string, licence string, attribution string"
+        [(*row, days.get(row[0])) for row in fixed.ATTRIBUTIONS],
+        "source string, name string, licence string, attribution string, extracted string",
     )
-    write_metadata(f"{out}/metadata", version, schema_version, counts, manifest, sources)
+    write_metadata(f"{out}/metadata", version, schema_version, counts, files, sources)
+    if prior is not None:
+        write_comparison(compare_releases(counts, prior, threshold)[0], f"{out}/comparison")
     return counts
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -11,7 +13,10 @@ from pyspark.sql import SparkSession
 
 @cache
 def _local_folder(app_id: str) -> str:
-    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    """For a local session that names no folder; its one process ends with it."""
+    folder = tempfile.mkdtemp(prefix="spark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -118,7 +118,11 @@ def built(spark, tmp_path_factory):
     paths = landing.side_files(folder)
     report = load_sources(spark, SOURCES, paths, tables, VERSION, floors={})
     assert report.failures == {}
-    counts = build_release(spark, tables, VERSION, out, profile="fixture", shards=3)
+    prior = spark.createDataFrame([("nsw", 1), ("tas", 2)], "bucket string, n bigint")
+    counts = build_release(
+        spark, tables, VERSION, out, profile="fixture", shards=3, report=report,
+        extracted={"abn": "2026-06-24"}, prior=prior,
+    )
     docs = spark.read.parquet(f"{tables}/version=20260628/documents")
     return {"tables": tables, "out": out, "counts": counts, "docs": docs, "report": report}
 
@@ -267,11 +271,19 @@ def test_shards_manifest_and_metadata(spark, built):
     merged = merge_shards(spark, f"{built['out']}/shards").collect()
     assert [r["_id"] for r in merged] == sorted(r["_id"] for r in merged) and len(merged) == 8
     files = spark.read.json(f"{built['out']}/metadata/files").collect()
-    assert sum(r["records"] for r in files) == 8
+    assert sum(r["records"] for r in files if not r["aggregate"]) == 8
+    assert sum(r["records"] for r in files if r["aggregate"]) == 8
+    bundle = spark.read.text(f"{built['out']}/bundle").collect()
+    assert len(bundle) == 8
+    awards = spark.read.json(f"{built['out']}/awards").collect()
+    assert [(r["abn"], r["totalValueCents"]) for r in awards] == [(TRUST, "4473961")]
+    compared = spark.read.json(f"{built['out']}/comparison/json").collect()
+    assert {r["bucket"]: r["status"] for r in compared}["tas"] == "retired"
     assert all(len(r["sha256"]) == 64 and r["bytes"] > 0 for r in files)
     sources = spark.read.json(f"{built['out']}/metadata/sources")
     assert sources.where("attribution is null or licence is null").isEmpty()
     assert sources.count() == 16
+    assert [r["source"] for r in sources.where("extracted = '2026-06-24'").collect()] == ["abn"]
 
 
 def test_shards_are_sorted_slices(spark, tmp_path):
