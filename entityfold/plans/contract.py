@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from entityfold.functions import abn_valid
 from entityfold.plans import fixed_values as fixed
+from entityfold.plans.document import flag_rules
 
 # Fields that are never null, at the top and inside the objects.
 REQUIRED = [
@@ -44,25 +45,6 @@ CHOICES = {
     "abnStatus": (fixed.STATUS_ACTIVE, fixed.STATUS_CANCELLED),
     "acnType": fixed.SECONDARY_TYPES,
 }
-FLAGS = [
-    "isIndividual",
-    "isCompany",
-    "isCharity",
-    "isLicensed",
-    "hasEnforcementAction",
-    "isDgr",
-    "hasGovContracts",
-    "receivesGovGrants",
-    "isLargeCorporateTaxpayer",
-    "claimsRdTaxIncentive",
-    "isAfsAuthorisedRep",
-    "isCreditRep",
-    "isWgeaReporter",
-    "isSmsfAuditor",
-    "isExternalAdministration",
-    "isStrikeOffInProgress",
-    "isDeregistered",
-]
 
 
 def _has(field: str):
@@ -82,7 +64,7 @@ def contract_rules() -> dict[str, Column]:
             rules[f"required {name}[].{f}"] = F.forall(name, _has(f))
     for name in TEXT_LISTS + OBJECT_LISTS:
         rules[f"no null in {name}"] = F.forall(name, lambda x: x.isNotNull())
-    for f in FLAGS:
+    for f in flag_rules():
         rules[f"required flags.{f}"] = F.col(f"flags.{f}").isNotNull()
     rules["checksum"] = abn_valid(F.col("_id"))
     return rules

@@ -266,6 +266,20 @@ _TABLES_SQL = """
 """
 
 
+_JOINS_SQL = """
+    FROM base
+    LEFT JOIN company ON company.abn = id LEFT JOIN bn ON bn.abn = id
+    LEFT JOIN charity ON charity.abn = id LEFT JOIN ais ON ais.abn = id
+    LEFT JOIN spend ON spend.abn = id LEFT JOIN awards ON awards.abn = id
+    LEFT JOIN tax ON tax.abn = id LEFT JOIN wgea ON wgea.abn = id
+    LEFT JOIN smsf ON smsf.abn = id LEFT JOIN rda ON rda.abn = id
+    LEFT JOIN k ka ON ka.abn = id
+    LEFT JOIN k kc ON kc.acn = base.acn AND able
+    LEFT JOIN rdc ON rdc.acn = base.acn AND able
+    LEFT JOIN banned ON banned.acn = base.acn AND able
+"""
+
+
 @query(f"""
     WITH {_TABLES_SQL}
     SELECT id, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'CAN' ELSE 'ACT' END AS status,
@@ -298,16 +312,7 @@ _TABLES_SQL = """
         coalesce(company.status = 'EXAD', false) AS in_administration,
         coalesce(company.status = 'SOFF', false) AS struck_off,
         ka.licence IS NOT NULL OR kc.licence IS NOT NULL AS licensed
-    FROM base
-    LEFT JOIN company ON company.abn = id LEFT JOIN bn ON bn.abn = id
-    LEFT JOIN charity ON charity.abn = id LEFT JOIN ais ON ais.abn = id
-    LEFT JOIN spend ON spend.abn = id LEFT JOIN awards ON awards.abn = id
-    LEFT JOIN tax ON tax.abn = id LEFT JOIN wgea ON wgea.abn = id
-    LEFT JOIN smsf ON smsf.abn = id LEFT JOIN rda ON rda.abn = id
-    LEFT JOIN k ka ON ka.abn = id
-    LEFT JOIN k kc ON kc.acn = base.acn AND able
-    LEFT JOIN rdc ON rdc.acn = base.acn AND able
-    LEFT JOIN banned ON banned.acn = base.acn AND able
+    {_JOINS_SQL}
 """)
 def entity_documents(spark, d):
     doc = documents(spark, d)
@@ -381,21 +386,120 @@ def entity_documents(spark, d):
         count(wgea.abn) AS "wgeaReporter", count(smsf.abn) AS "smsfAuditor",
         count(*) FILTER (c_custkey % 3 = 0) AS "businessNames",
         count(*) FILTER (c_custkey % 9 = 0) AS dgr
-    FROM base
-    LEFT JOIN company ON company.abn = id LEFT JOIN bn ON bn.abn = id
-    LEFT JOIN charity ON charity.abn = id LEFT JOIN ais ON ais.abn = id
-    LEFT JOIN spend ON spend.abn = id LEFT JOIN awards ON awards.abn = id
-    LEFT JOIN tax ON tax.abn = id LEFT JOIN wgea ON wgea.abn = id
-    LEFT JOIN smsf ON smsf.abn = id LEFT JOIN rda ON rda.abn = id
-    LEFT JOIN k ka ON ka.abn = id
-    LEFT JOIN k kc ON kc.acn = base.acn AND able
-    LEFT JOIN rdc ON rdc.acn = base.acn AND able
-    LEFT JOIN banned ON banned.acn = base.acn AND able
+    {_JOINS_SQL}
 """)
 def entity_coverage(spark, d):
     return coverage(documents(spark, d), coverage_counters())
 
 
+@query(f"""
+    WITH {_TABLES_SQL}
+    SELECT id, c_custkey % 6 = 0 AS "isIndividual", company.abn IS NOT NULL AS "isCompany",
+        charity.abn IS NOT NULL AS "isCharity", coalesce(ka.rep, kc.rep) IS NOT NULL AS "isLicensed",
+        banned.acn IS NOT NULL AS "hasEnforcementAction", c_custkey % 9 = 0 AS "isDgr",
+        spend.abn IS NOT NULL AS "hasGovContracts", awards.abn IS NOT NULL AS "receivesGovGrants",
+        tax.abn IS NOT NULL AS "isLargeCorporateTaxpayer",
+        coalesce(rda.y, rdc.y) IS NOT NULL AS "claimsRdTaxIncentive",
+        coalesce(ka.rep, kc.rep) IS NOT NULL AS "isAfsAuthorisedRep",
+        coalesce(CASE WHEN ka.s_suppkey % 3 <> 2 THEN ka.rep END,
+                 CASE WHEN ka.s_suppkey IS NULL OR ka.s_suppkey % 3 = 2
+                      THEN CASE WHEN kc.s_suppkey % 3 <> 2 THEN kc.rep END END)
+            IS NOT NULL AS "isCreditRep",
+        wgea.abn IS NOT NULL AS "isWgeaReporter", smsf.abn IS NOT NULL AS "isSmsfAuditor",
+        coalesce(company.status = 'EXAD', false) AS "isExternalAdministration",
+        coalesce(company.status = 'SOFF', false) AS "isStrikeOffInProgress",
+        coalesce(company.status = 'DRGD' OR company.status = 'Deregistered', false)
+            AS "isDeregistered"
+    {_JOINS_SQL}
+""")
+def entity_flags(spark, d):
+    """All derived flags of all documents."""
+    return documents(spark, d).select(F.col("_id").alias("id"), "flags.*")
+
+
+@query("""
+    SELECT CAST(51000000000 + c_custkey AS VARCHAR) AS id, 'ACT' AS status, '' AS code,
+           false AS gst, true AS active, CAST(NULL AS VARCHAR) AS since, CAST(NULL AS BIGINT) AS age,
+           CAST(0 AS BIGINT) AS listed, false AS "isIndividual", false AS "isDeregistered"
+    FROM customer
+""")
+def bare_documents(spark, d):
+    """Base rows that have nothing but their key, and no side table: what a document defaults to."""
+    base = _as(table(spark, d, "customer").select(_abn("c_custkey").alias("abn")), "abn")
+    dims = {n: _as(spark.range(0), n) for n in fixed.TABLES if n != "abn"}
+    doc = build_documents(base, dims, VERSION)
+    lists = ["businessNames", "tradingNames", "otherNames", "dgr", "registeredBusinessNames"]
+    listed = sum((F.size(c) for c in [*lists, "bannedDisqualified"]), F.lit(0))
+    return doc.select(
+        F.col("_id").alias("id"),
+        F.col("abnStatus").alias("status"),
+        F.col("entityTypeCode").alias("code"),
+        F.col("gstRegistered").alias("gst"),
+        F.col("isActive").alias("active"),
+        F.col("abnStatusFromDate").alias("since"),
+        big("ageYears").alias("age"),
+        big(listed).alias("listed"),
+        "flags.isIndividual",
+        "flags.isDeregistered",
+    )
+
+
+@query("""
+    SELECT rule, count(*) AS issues FROM (
+        SELECT unnest([
+            CASE WHEN k % 13 = 0 THEN 'required _version' END,
+            CASE WHEN k % 17 = 0 THEN 'required entityTypeCode' END,
+            CASE WHEN k % 7 = 0 THEN 'choice abnStatus' END,
+            CASE WHEN k % 5 = 1 THEN 'choice acnType' END,
+            CASE WHEN k % 4 = 0 THEN 'no null in businessNames' END,
+            CASE WHEN k % 6 = 0 THEN 'required flags.isDgr' END,
+            CASE WHEN k % 3 = 0 THEN 'required govSpend.totalValueAud' END,
+            CASE WHEN k % 9 = 0 OR k % 10 = 0 THEN 'required registeredBusinessNames[].name' END,
+            CASE WHEN k % 10 = 0 THEN 'no null in registeredBusinessNames' END
+        ]) AS rule FROM (SELECT c_custkey AS k FROM customer))
+    WHERE rule IS NOT NULL GROUP BY rule
+""")
+def contract_breaches(spark, d):
+    """Documents broken on purpose, one way for each kind of rule."""
+    doc = documents(spark, d).withColumn("k", F.col("_id").cast("bigint") - 51000000000)
+    k = F.col("k")
+    kinds = {f.name: f.dataType for f in doc.schema}
+    null = F.lit(None)
+    spend = F.struct(
+        null.cast("decimal(38,2)").alias("totalValueAud"),
+        F.lit(1).cast("bigint").alias("contractCount"),
+        null.cast("string").alias("firstContractDate"),
+        null.cast("string").alias("lastContractDate"),
+    )
+    nameless = F.array(
+        F.struct(*[null.cast("string").alias(n) for n in kinds["registeredBusinessNames"].elementType.names])
+    )
+    own = F.col("registeredBusinessNames")
+    nothing = F.array(null.cast(kinds["registeredBusinessNames"].elementType))
+    broken = doc.withColumns(
+        {
+            "_version": F.when(k % 13 != 0, F.col("_version")),
+            "entityTypeCode": F.when(k % 17 != 0, F.col("entityTypeCode")),
+            "abnStatus": F.when(k % 7 == 0, "XXX").otherwise(F.col("abnStatus")),
+            "acnType": F.when(k % 5 == 1, "ABC").otherwise(F.col("acnType")),
+            "businessNames": F.when(
+                k % 4 == 0, F.array_append("businessNames", null.cast("string"))
+            ).otherwise(F.col("businessNames")),
+            "flags": F.col("flags").withField(
+                "isDgr", F.when(k % 6 != 0, F.col("flags.isDgr"))
+            ),
+            "govSpend": F.when(k % 3 == 0, spend).otherwise(F.col("govSpend")),
+            "registeredBusinessNames": F.concat(
+                own,
+                F.when(k % 9 == 0, nameless).otherwise(F.slice(nameless, 1, 0)),
+                F.when(k % 10 == 0, nothing).otherwise(F.slice(nothing, 1, 0)),
+            ),
+        }
+    )
+    rules = {n: c for n, c in contract_rules().items() if n != "checksum"}
+    return rule_counts(check_documents(broken, "_id", rules))
+
+
 @query("""
     SELECT 'checksum' AS rule, count(*) AS issues
     FROM (SELECT CAST(51000000000 + c_custkey AS VARCHAR) AS k FROM customer)

@@ -40,6 +40,7 @@ from entityfold.sources import (
     read_register_xml,
     register_rows,
 )
+from entityfold.sources.delimited import ragged_records
 from entityfold.sources.ocds import POSITION
 from queries.aggregates import releases_of
 from queries.registry import big, query, table
@@ -89,6 +90,34 @@ def delimited_file_facts(spark, d):
     )
 
 
+@query("""
+    SELECT count(*) AS ragged FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0
+""")
+def ragged_files(spark, d):
+    """Records that are wider or narrower than their header, found ahead of a load."""
+    folder = fresh_folder(spark, "ragged")
+    key = F.col("o_orderkey")
+    line = F.concat_ws(
+        ",",
+        key.cast("string"),
+        F.when(key % 7 == 0, F.concat("o_orderpriority", F.lit(",more"))).when(
+            key % 11 != 0, F.col("o_orderpriority")
+        ),
+    )
+    # One column without quoting: its name is the header line and its values are the records.
+    (
+        table(spark, d, "orders")
+        .select(line.alias("key,priority"))
+        .write.option("header", True)
+        .option("quote", "")
+        .option("escape", "")
+        .option("sep", "\x01")
+        .csv(folder)
+    )
+    found = ragged_records(spark, folder, ["key", "priority"], ",", True, False)
+    return found.where("example is not null").agg(F.sum("records").alias("ragged"))
+
+
 @query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, source FROM documents")
 def delimited_quoted(spark, d):
     """Comma-separated, with commas, quotes and line breaks inside quoted fields."""
