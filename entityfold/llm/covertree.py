@@ -225,7 +225,8 @@ def vector_links(
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = entries.select("node", "copies", "first").join(counts, "node", "left").join(groups, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("first").alias("least"))
+    # A table of its own, so that the join deals out both sides anew and can split a large component.
+    least = materialise(named.groupBy("component").agg(F.min("first").alias("least")), "names")
     named = named.join(least, "component").select(
         "node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("least").alias("component_id")
     )

@@ -159,7 +159,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     groups = materialise(connected_components(fingerprint_links(firsts), "a", "b"), "groups")
     grouped = firsts.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "fp"))
-    names = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
+    # A table of its own, so that the join deals out both sides anew and can split a large component.
+    names = materialise(grouped.groupBy("component").agg(F.min("first").alias("component_id")), "names")
     named = grouped.join(names, "component").select("fp", "component_id")
     return prints.join(named, "fp").select(
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
