@@ -52,7 +52,7 @@ def releases_of(spark, d):
             F.array(identifier("AU-ABN", key), identifier("AU-ABN", spaced)),
         )
     )
-    buyer = party("buyer", blank, F.array(identifier("AU-ABN", F.lit("62950639680"))))
+    buyer = party("buyer", blank, F.array(identifier("AU-ABN", F.lit("33102417032"))))
     amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
 
     def contract(value, day):

@@ -191,15 +191,15 @@ def side_files(folder: Path) -> dict[str, str]:
         ),
         "asic_afs_licence": _comma(
             "AFS_LIC_ABN_ACN,AFS_LIC_NUM,AFS_LIC_NAME,AFS_LIC_START_DT,AFS_LIC_CONDITION",
-            f'"{FIRM[:2]} {FIRM[2:5]} {FIRM[5:8]} {FIRM[8:]}",240001,QUILL,01/05/2003,',
-            f"{SHARED_NUMBER},240002,MATCHED,01/05/2004,limited",
+            f'"{FIRM[:2]} {FIRM[2:5]} {FIRM[5:8]} {FIRM[8:]}",617001,QUILL,01/05/2003,',
+            f"{SHARED_NUMBER},617002,MATCHED,01/05/2004,limited",
             f"{SHARED_NUMBER},240003,MATCHED OLD,01/05/2002,",
             "4000111,240009,SHORT,01/05/2004,",
         ),
         "asic_credit_licence": _comma(
             "CRED_LIC_ABN_ACN,CRED_LIC_NUM,CRED_LIC_NAME,CRED_LIC_STATUS,CRED_LIC_START_DT,"
             "CRED_LIC_END_DT",
-            f"{SHARED_NUMBER},390001,MATCHED,APPR,01/05/2011,",
+            f"{SHARED_NUMBER},718001,MATCHED,APPR,01/05/2011,",
             f"{FIRM},,NO NUMBER,APPR,01/05/2011,",
         ),
         "asic_banned_disqualified": _tab(
@@ -210,12 +210,12 @@ def side_files(folder: Path) -> dict[str, str]:
         "asic_afs_rep": _tab(
             "AFS_REP_ABN|AFS_REP_ACN|AFS_REP_NUM|AFS_LIC_NUM|AFS_REP_STATUS|AFS_REP_START_DT|"
             "AFS_REP_END_DT",
-            f"{FIRM}|004000111|1240001|240001|Current|01/01/2010|",
-            f"|{SHARED_NUMBER}|1240002|240001|Current|01/01/2011|",
+            f"{FIRM}|004000111|1617001|617001|Current|01/01/2010|",
+            f"|{SHARED_NUMBER}|1617002|617001|Current|01/01/2011|",
         ),
         "asic_credit_rep": _comma(
             "CRED_REP_ABN_ACN,CRED_REP_NUM,CRED_LIC_NUM,CRED_REP_START_DT,CRED_REP_END_DT",
-            f"{GONE},500001,390001,01/01/2012,31/12/2015",
+            f"{GONE},500001,718001,01/01/2012,31/12/2015",
         ),
         "wgea_reporter": _comma(
             "Primary ABN,Primary Organisation,ABN,Company Name",
@@ -225,8 +225,8 @@ def side_files(folder: Path) -> dict[str, str]:
         ),
         "asic_smsf_auditor": _tab(
             "SMSF_PERSON_ABN|SMSF_NUM|SMSF_STATUS|SMSF_REG_DT|SMSF_SUSP_START_DT|SMSF_SUSP_END_DT",
-            f"{SOLE}|100261694|Registered|10/02/2016||",
-            f"{SOLE}|100261694|Registered|09/03/2017||",
+            f"{SOLE}|204417733|Registered|10/02/2016||",
+            f"{SOLE}|204417733|Registered|09/03/2017||",
         ),
     }
     paths = {}
@@ -261,9 +261,9 @@ def side_files(folder: Path) -> dict[str, str]:
                         "Tax payable $",
                         "Income year",
                     ],
-                    ["QUILL", int(FIRM), 120000000, 0, -5, "2023-24"],
+                    ["QUILL", int(FIRM), 88120000, 0, -5, "2023-24"],
                     [None, None, " "],
-                    ["FOREIGN", CLASH, "$500,000,000", 45000000, 13500000, "2023-24"],
+                    ["FOREIGN", CLASH, "$500,000,000", 31250000, 9375000, "2023-24"],
                     ["NO TOTAL", int(SOLE), None, 1, 1, "2023-24"],
                 ],
             ),
@@ -280,8 +280,8 @@ def side_files(folder: Path) -> dict[str, str]:
                         "Total R&D expenditure (x) $",
                         "Income Year",
                     ],
-                    ["QUILL", int(FIRM), 1, 449266, "2022-23"],
-                    ["MATCHED", int(SHARED_NUMBER), 1, 70421, "2022-23"],
+                    ["QUILL", int(FIRM), 1, 318204, "2022-23"],
+                    ["MATCHED", int(SHARED_NUMBER), 1, 55310, "2022-23"],
                     ["SHORT", 12345, 1, 5, "2022-23"],
                 ],
             )
@@ -292,9 +292,9 @@ def side_files(folder: Path) -> dict[str, str]:
                 [
                     ["Grant Award Published"],
                     [],
-                    ["Date Range", "1-Jun-2026 to 7-Jun-2026"],
+                    ["Date Range", "3-Mar-2025 to 9-Mar-2025"],
                     ["GA ID", "Recipient Name", "Recipient ABN", "Publish Date", "Value (AUD)"],
-                    ["GA1", "TRUST", f"{TRUST[:2]} {TRUST[2:]}", 46176, 43739.61],
+                    ["GA1", "TRUST", f"{TRUST[:2]} {TRUST[2:]}", 46176, 21874.35],
                     ["GA2", "Somebody", "", "4-Jun-2026", 5000],
                     ["GA3", "TRUST", int(TRUST), "2026-06-05", "$1,000.00"],
                 ],

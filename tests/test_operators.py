@@ -192,9 +192,9 @@ RELEASE = (
 
 
 def test_extract_releases(rows):
-    supplier = (["supplier"], ("AU-ABN", "51 000 000 793"), [("GB-COH", "12345678901")])
-    buyer = (["procuringEntity"], None, [("AU-ABN", "62950639680")])
-    twice = (["x", "supplier"], None, [("AU-ABN", "51000000793"), ("AU-ABN", "1"), ("AU-ABN", None)])
+    supplier = (["supplier"], ("AU-ABN", "40 000 000 654"), [("GB-COH", "12345678901")])
+    buyer = (["procuringEntity"], None, [("AU-ABN", "33102417032")])
+    twice = (["x", "supplier"], None, [("AU-ABN", "40000000654"), ("AU-ABN", "1"), ("AU-ABN", None)])
     data = [
         (
             "a",
@@ -204,12 +204,12 @@ def test_extract_releases(rows):
         ),
         ("b", [(["supplier"], None, None)], [((None,), "short"), (("junk",), None), (None, None)], 2),
         (None, None, None, 3),
-        ("c", [(None, ("AU-ABN", "51000000793"), None)], [], 4),
+        ("c", [(None, ("AU-ABN", "40000000654"), None)], [], 4),
     ]
     got = as_tuples(op.extract_releases(rows(data, RELEASE), ["pos"]))
     assert got == sorted(
         [
-            ("a", 1, ["51000000793"], 150050, "2018-03-15"),
+            ("a", 1, ["40000000654"], 150050, "2018-03-15"),
             ("b", 2, [], 0, None),
             (None, 3, [], 0, None),
             ("c", 4, [], 0, None),

@@ -226,18 +226,18 @@ def test_spend(spark, tmp_path):
     path = releases_file(
         tmp_path,
         [
-            rel("a", ["51000000761"], "1000.00", "2020-01-01"),
-            {"releases": [rel("b", ["51000000761"], 500.5, "2022-06-01"), rel(None, [], 1, None)]},
+            rel("a", ["40000000321"], "1000.00", "2020-01-01"),
+            {"releases": [rel("b", ["40000000321"], 500.5, "2022-06-01"), rel(None, [], 1, None)]},
             "",
-            rel("b", ["51000000761"], "9999.00", "2023-01-01"),
-            rel("c", ["51000000793", "51000000761"], "0.005", None),
+            rel("b", ["40000000321"], "9999.00", "2023-01-01"),
+            rel("c", ["40000000654", "40000000321"], "0.005", None),
         ],
     )
     assert read_ocds(spark, path).count() == 5
     got = {r["abn"]: tuple(r)[1:] for r in normalise.gov_spend(read_ocds(spark, path)).collect()}
     assert {k: (str(v[0]), v[1], str(v[2]), str(v[3])) for k, v in got.items()} == {
-        "51000000761": ("1500.51", 3, "2020-01-01", "2022-06-01"),
-        "51000000793": ("0.01", 1, "None", "None"),
+        "40000000321": ("1500.51", 3, "2020-01-01", "2022-06-01"),
+        "40000000654": ("0.01", 1, "None", "None"),
     }
 
 
@@ -274,14 +274,14 @@ def test_cells(spark, tmp_path):
             f'<worksheet xmlns="{main}"><sheetData><row r="3">'
             '<c r="A3" t="s"><v>0</v></c><c r="C3" t="s"><v>1</v></c>'
             '<c r="D3"><f>1+1</f><v>2</v></c><c r="E3" t="str"><f>"x"</f><v>x</v></c>'
-            '<c r="AB3"><v>5.1000000793E10</v></c><c><v>0.5</v></c><c t="b"><v>1</v></c>'
+            '<c r="AB3"><v>4.0000000654E10</v></c><c><v>0.5</v></c><c t="b"><v>1</v></c>'
             '<c t="inlineStr"><is><t>in</t></is></c></row></sheetData></worksheet>',
         )
     row = read_workbook_grid(spark, write(tmp_path, new.getvalue(), "b.xlsx")).first()
     assert (row["sheet_no"], row["sheet"], row["row_no"]) == (0, "S", 3)
     gap = [None] * 22
     assert row["cells"] == [
-        "plain", None, "rich", "2", "x", *gap, "51000000793", "0.5", "true", "in",
+        "plain", None, "rich", "2", "x", *gap, "40000000654", "0.5", "true", "in",
     ]
 
 
@@ -296,7 +296,7 @@ def test_workbooks_without_the_columns_they_need(spark):
     no_key = grid_of(spark, ("S", [["foo", "bar"], [1, 2]]))
     with pytest.raises(Exception, match="no header row in b.xlsx"):
         normalise.tax_transparency(no_key).collect()
-    no_year = grid_of(spark, ("S", [["ABN", "Total income $"], [51000000793, 2]]))
+    no_year = grid_of(spark, ("S", [["ABN", "Total income $"], [40000000654, 2]]))
     with pytest.raises(Exception, match="column not found"):
         normalise.tax_transparency(no_year).collect()
     amended = grid_of(
@@ -304,7 +304,7 @@ def test_workbooks_without_the_columns_they_need(spark):
     )
     with pytest.raises(Exception, match="column not found: total r&d expenditure"):
         normalise.rd_tax_incentive(amended).collect()
-    late = grid_of(spark, ("S", [["x"]] * 10 + [["ABN"], [51000000793]]))
+    late = grid_of(spark, ("S", [["x"]] * 10 + [["ABN"], [40000000654]]))
     with pytest.raises(Exception, match="no header row"):
         normalise.tax_transparency(late).collect()
 
@@ -320,12 +320,12 @@ def test_grant_reports(spark):
     awards = read_grant_awards(
         grid_of(
             spark,
-            ("S", [["title"], header, ["51 000 000 761", "$1,000.005", "3-Jun-2026"], ["x", 5, None]]),
-            ("T", [["51000000761", 1, None]]),
+            ("S", [["title"], header, ["40 000 000 321", "$1,000.005", "3-Jun-2026"], ["x", 5, None]]),
+            ("T", [["40000000321", 1, None]]),
         )
     )
     got = [(r["recipient"], r["cents"], str(r["published"])) for r in awards.collect()]
-    assert sorted(got, key=repr) == [("51000000761", 100001, "2026-06-03"), (None, 500, "None")]
+    assert sorted(got, key=repr) == [("40000000321", 100001, "2026-06-03"), (None, 500, "None")]
     with pytest.raises(Exception, match="no header row"):
         read_grant_awards(grid_of(spark, ("S", [["Agency", "GA ID"]]))).collect()
 
