@@ -31,16 +31,24 @@ BLOCK = 1024
 POSITIONS = [c for half in (range(4), range(4, 8)) for c in combinations(half, 3)]
 
 
-def fingerprint(text: str | None, words: int, seed: int) -> int:
-    """A bit is set if it is set in over half of the hashes of the shingles; no word: zero."""
+def shingle_hashes(text: str | None, words: int, seed: int) -> np.ndarray:
+    """The hash of each shingle in order; a shorter text is one shingle, one without a word has none."""
     found = (text or "").encode().lower().split()  # bytes: only A-Z change, only ASCII blanks split
     if not found:
-        return 0
+        return np.empty(0, np.uint64)
     joined, n = b" ".join(found), max(1, len(found) - words + 1)
     ends = list(accumulate(len(w) + 1 for w in found))
     starts, stops = [0, *ends], ends[min(words, len(found)) - 1 :]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a : b - 1], seed) for a, b in zip(starts, stops, strict=False)), np.uint64, n)
+    return np.fromiter((digest(joined[a : b - 1], seed) for a, b in zip(starts, stops, strict=False)), np.uint64, n)
+
+
+def fingerprint(text: str | None, words: int, seed: int) -> int:
+    """A bit is set if it is set in over half of the hashes of the shingles; no word: zero."""
+    hashes = shingle_hashes(text, words, seed)
+    n = len(hashes)
+    if not n:
+        return 0
     bits = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * bits > n, bitorder="little").view(np.uint64)[0])
 
