@@ -4,12 +4,16 @@ Counts per language and bucket are summed by Spark from a bounded sample of labe
 matrix of log-probabilities (languages x buckets) goes to the tasks with the scoring function,
 and each batch is scored in numpy by looking up the buckets of its n-grams and summing them per
 document.
+
+The posterior says which learned language is likeliest, not whether the text is in any of them.
+That is told by the mean log-probability of the n-grams of its words, against what the language
+gives on the n-grams of its own texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -21,11 +25,14 @@ from pyspark.sql import functions as F
 from entityfold.llm.common import add_columns, bounded_sample
 
 LETTER = regex.compile(r"\p{L}")
+RUN = regex.compile(r"[\p{L}\p{M}]+")
+DIGIT = regex.compile(r"\p{N}")
 UNKNOWN = "und"
 BUCKET_BITS = 15
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 PER_LANGUAGE = 4000
+SHORT = 300  # n-grams; the mean of a text of so many strays sqrt(2) times as far as that of a long one
 _STEP = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
 
@@ -33,6 +40,12 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def plain_words(text: str) -> str:
+    """Runs of letters of what is written without digits; of everything if nothing else has a letter."""
+    found = RUN.findall(" ".join(w for w in text.split() if not DIGIT.search(w)))
+    return " ".join(found or RUN.findall(text))
+
+
 def ngram_buckets(codes: np.ndarray) -> list[np.ndarray]:
     """For each order the bucket of the n-gram that starts at each place (the last n-1 have none)."""
     out, mixed = [], np.zeros(len(codes), np.uint32)
@@ -51,24 +64,26 @@ def ngram_buckets(codes: np.ndarray) -> list[np.ndarray]:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """``log_p``: one row of log-probabilities per language; ``prior``: their log shares."""
+    """``log_p``: one row of log-probabilities per language; ``prior``: their log shares.
+
+    ``level`` and ``spread``: mean and deviation of the log-probability of an n-gram in the texts
+    that the language was learned from.
+    """
 
     languages: tuple[str, ...]
     prior: np.ndarray
     log_p: np.ndarray
+    level: np.ndarray = field(default_factory=lambda: np.empty(0))
+    spread: np.ndarray = field(default_factory=lambda: np.empty(0))
 
-    def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """The likeliest language and its posterior; ``und`` and 0 without a letter or a model."""
-        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        rows = [i for i, t in enumerate(texts) if t and self.languages and LETTER.search(t)]
-        if not rows:
-            return names, scores
-        parts = [code_points(texts[i]) for i in rows]
+    def _totals(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Per text and language the sum of log-probabilities and prior; per text its n-grams."""
+        parts = [code_points(t) for t in texts]
         sizes = np.array([len(p) for p in parts])
         starts = np.r_[0, np.cumsum(sizes)[:-1]]
         codes = np.concatenate(parts)
         # An n-gram that would reach into the next text starts in the last n-1 places of its own.
-        total = np.tile(self.prior, (len(rows), 1)).astype(np.float64)
+        total = np.tile(self.prior, (len(texts), 1)).astype(np.float64)
         for n, buckets in zip(ORDERS, ngram_buckets(codes), strict=True):
             padded = np.full(len(codes), 1 << BUCKET_BITS, np.int64)
             padded[: len(buckets)] = buckets
@@ -76,6 +91,15 @@ class LanguageModel:
                 padded[starts + sizes - back] = 1 << BUCKET_BITS
             for k in range(len(self.languages)):
                 total[:, k] += np.add.reduceat(self.log_p[k][padded], starts, dtype=np.float64)
+        return total, sum(sizes - n + 1 for n in ORDERS)
+
+    def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """The likeliest language and its posterior; ``und`` and 0 without a letter or a model."""
+        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        rows = [i for i, t in enumerate(texts) if t and self.languages and LETTER.search(t)]
+        if not rows:
+            return names, scores
+        total, _ = self._totals([texts[i] for i in rows])
         best = total.argmax(axis=1)
         weight = np.exp(total - total.max(axis=1, keepdims=True))
         sure = weight[np.arange(len(rows)), best] / weight.sum(axis=1)
@@ -83,6 +107,34 @@ class LanguageModel:
             names[i], scores[i] = self.languages[b], float(s)
         return names, scores
 
+    def likeness(self, texts: list[str | None]) -> list[float | None]:
+        """How far the mean log-probability of the words' n-grams is from the level of their likeliest
+        language, in deviations that allow for the number of n-grams; null without a letter or a model.
+        """
+        found: list[float | None] = [None] * len(texts)
+        rows = [i for i, t in enumerate(texts) if t and self.languages and LETTER.search(t)]
+        if not rows:
+            return found
+        total, n = self._totals([plain_words(texts[i]) for i in rows])
+        best = total.argmax(axis=1)
+        mean = (total[np.arange(len(rows)), best] - self.prior[best]) / n
+        away = (mean - self.level[best]) / (self.spread[best] * np.sqrt(1 + SHORT / n))
+        for i, a in zip(rows, away, strict=True):
+            found[i] = float(a)
+        return found
+
+
+def learned(languages: tuple[str, ...], counts: np.ndarray) -> LanguageModel:
+    """The model of n-gram counts, one row per language."""
+    smooth = counts + SMOOTHING
+    log_p = np.log(smooth / smooth.sum(axis=1, keepdims=True))
+    share = counts / np.maximum(1, counts.sum(axis=1, keepdims=True))
+    level = (share * log_p).sum(axis=1)
+    spread = np.sqrt((share * (log_p - level[:, None]) ** 2).sum(axis=1))
+    prior = np.full(len(languages), -np.log(max(1, len(languages))))
+    log_p = np.pad(log_p.astype(np.float32), ((0, 0), (0, 1)))  # one more bucket, worth nothing, for places without n-gram
+    return LanguageModel(languages, prior, log_p, level, np.maximum(spread, 1e-9))
+
 
 def fit(
     df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", per_language: int = PER_LANGUAGE
@@ -117,19 +169,22 @@ def fit(
 
     summed = sample.mapInArrow(count, "_label string, bucket long, n long").groupBy("_label", "bucket").agg(F.sum("n").alias("n"))
     rows = sorted(tuple(r) for r in summed.groupBy("_label").applyInPandas(dense, "label string, row binary").collect())
-    counts = np.array([np.frombuffer(r[1], np.float64) for r in rows]).reshape(len(rows), 1 << BUCKET_BITS) + SMOOTHING
-    log_p = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
-    log_p = np.pad(log_p, ((0, 0), (0, 1)))  # one more bucket, worth nothing, for places without n-gram
-    return LanguageModel(tuple(r[0] for r in rows), np.full(len(rows), -np.log(max(1, len(rows)))), log_p)
+    counts = np.array([np.frombuffer(r[1], np.float64) for r in rows]).reshape(len(rows), 1 << BUCKET_BITS)
+    return learned(tuple(r[0] for r in rows), counts)
 
 
-def predict(df: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep``, ``lang_pred`` and ``score``.
+def predict(
+    df: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",), likeness: bool = False
+) -> DataFrame:
+    """The columns ``keep``, ``lang_pred`` and ``score``; on demand also ``likeness``.
 
     A null text, or one without a letter, is ``und`` with score 0; so is every text if the model
     knows no language. Whole texts are read; ties go to the first language by name. Kept columns
-    must not be called ``lang_pred`` or ``score``; others may have any name.
+    must not be called ``lang_pred``, ``score`` or ``likeness``; others may have any name.
     """
     sent = df.sparkSession.sparkContext.broadcast(model)
+    if likeness:
+        make = lambda: lambda texts: [*sent.value.score(texts), sent.value.likeness(texts)]
+        return add_columns(df, keep, (text,), "lang_pred string, score double, likeness double", make, rows=64)
     make = lambda: lambda texts: list(sent.value.score(texts))
     return add_columns(df, keep, (text,), "lang_pred string, score double", make, rows=64)
