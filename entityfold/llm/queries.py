@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityfold.llm import bpe, covertree, langid, licences, packing, quality, rules, sharding, simhash, substrings
+from entityfold.llm import (
+    bpe,
+    covertree,
+    langid,
+    licences,
+    mixing,
+    negatives,
+    packing,
+    phrases,
+    quality,
+    rules,
+    sharding,
+    simhash,
+    substrings,
+)
 from entityfold.llm.common import fold, materialise, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -100,6 +114,19 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").withColumn("label", negatives.moved_label())
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_covertree": op1_covertree,
     "op2_pack": op2_pack,
@@ -111,8 +138,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
     "op10_simhash": op10_simhash,
+    "op11_negatives": op11_negatives,
+    "op12_mixing": op12_mixing,
+    "op13_phrases": op13_phrases,
 }
 SQL: dict[str, str] = {
     "op4_sharding": shards_sql(SHARD_BYTES),
     "op5_licences": licences.scan_sql(licences.TEMPLATES),
+    "op11_negatives": negatives.NEGATIVES_SQL,
+    "op12_mixing": mixing.mix_sql(),
+    "op13_phrases": phrases.PHRASES_SQL,
 }
