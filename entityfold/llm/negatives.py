@@ -59,28 +59,31 @@ def _packed_wide(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+def _any_size(m: np.ndarray) -> np.ndarray:
+    return np.array([[int(v) for v in r] for r in m], object).reshape(m.shape)
+
+
 def inner_products(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Exact inner products of whole-number rows: int64, or objects where they may not fit."""
     if not anchors.size or not rows.size:
         return np.zeros((len(anchors), len(rows)), np.int64)
-    low_a, low_r = anchors.min(axis=0), rows.min(axis=0)
     reach = [int(max(abs(m.min()), abs(m.max()))) for m in (anchors, rows)]
     fits = 4 * reach[0] * reach[1] * rows.shape[1] < 1 << WIDTH
-    if fits:
-        anchors, rows, low_a, low_r = (m.astype(np.int64) for m in (anchors, rows, low_a, low_r))
+    anchors, rows = (m.astype(np.int64) if fits else _any_size(m) for m in (anchors, rows))
+    low_a, low_r = anchors.min(axis=0), rows.min(axis=0)
     x, y = anchors - low_a, rows - low_r
     sums = _packed(x, y) if fits else _packed_wide(x, y)
     return sums + (x @ low_r)[:, None] + (y @ low_a)[None, :] + low_a @ low_r
 
 
 def whole_numbers(vectors: pd.Series, scale: int) -> np.ndarray:
-    """floor(scale * x) of each component; short vectors get zeros."""
+    """floor(scale * x) of each component, as doubles that are whole numbers; short vectors get zeros."""
     width = max(map(len, vectors), default=0)
     out = np.zeros((len(vectors), width))
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     out = np.floor(out * scale)
-    return out if not out.size or np.abs(out).max() < 2.0**WIDTH else np.array([[int(v) for v in r] for r in out], object)
+    return out
 
 
 class Side:
@@ -103,8 +106,6 @@ def scored(group: pd.DataFrame, scale: int):
     anchors, rows = Side(group[group["anchor"]], scale), Side(group[~group["anchor"]], scale)
     width = max(anchors.values.shape[1], rows.values.shape[1])
     a, b = _widen(anchors.values, width), _widen(rows.values, width)
-    if a.dtype != b.dtype:
-        a, b = (m if m.dtype == object else np.array([[int(v) for v in r] for r in m], object).reshape(m.shape) for m in (a, b))
     step = max(1, AT_ONCE // max(1, len(b)))
     return anchors, rows, ((i, inner_products(a[i : i + step], b)) for i in range(0, len(a), step))
 

@@ -41,7 +41,7 @@ def run(spark, name):
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(queries.SQL) <= set(contract.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
