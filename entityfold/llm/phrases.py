@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import count
 
 import numpy as np
@@ -50,11 +51,9 @@ class Transform:
             rank = np.empty_like(pair)
             rank[order] = np.cumsum(np.diff(pair[order], prepend=pair[order[:1]]) != 0)
             sorted_to *= 2
-        self.order = np.argsort(rank, kind="stable")
-        self.last = ids[self.order - 1]  # the word before each suffix; the sequence counts as a circle
-        back = np.argsort(self.last, kind="stable")
-        self.lf = np.empty(len(ids), np.int64)  # C[word] + occurrences of the word above the row
-        self.lf[back] = np.arange(len(ids))
+        self.last = ids[np.argsort(rank, kind="stable") - 1]  # the word before each suffix; the sequence counts as a circle
+        self.lf = np.empty(len(ids), np.int32)  # C[word] + occurrences of the word above the row
+        self.lf[np.argsort(self.last, kind="stable")] = np.arange(len(ids), dtype=np.int32)
 
 
 def extend(index: Transform, low: np.ndarray, other: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -80,12 +79,20 @@ class WordIndex:
     """
 
     def __init__(self, ids: np.ndarray, depth: int = LONGEST):
-        self.forward, self.backward = Transform(ids, depth), Transform(ids[::-1], depth)
+        self.ids, self.depth = ids, depth
         count = np.bincount(ids)
         low = np.cumsum(count) - count
         known = np.flatnonzero(count[1:]) + 1
         self.singles = known[:, None], low[known], low[known], count[known]
 
+    @cached_property
+    def forward(self) -> Transform:
+        return Transform(self.ids, self.depth)
+
+    @cached_property
+    def backward(self) -> Transform:
+        return Transform(self.ids[::-1], self.depth)
+
     def left(self, words: np.ndarray, low: np.ndarray, back: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
         p, w, low, back, size = extend(self.forward, low, back, size)
         return np.concatenate([w[:, None], words[p]], axis=1), low, back, size
@@ -109,6 +116,17 @@ def pair_keys(hashes: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
 
 
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Numbers as 32-bit little-endian, their bytes by place (the high ones are mostly zero), compressed."""
+    planes = np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_ids(packed: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * count, codec="zstd"), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 class _Buffer:
     """Word numbers of the texts of one language that the task has read so far."""
 
@@ -136,11 +154,12 @@ class _Buffer:
 
 
 def shards(docs: DataFrame, text: str = "text", lang: str = "lang", shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``shard``, ``lang``, ``words``, ``counts`` and ``ids`` (32-bit numbers into ``words`` from 1;
-    0 before, between and after pieces). A text is never divided, so a longer one is a shard of its own."""
+    """``shard``, ``lang``, ``words``, ``counts``, ``size`` and ``ids`` (so many packed numbers into ``words``
+    from 1; 0 before, between and after pieces). A text is never divided, so a longer one is a shard of its own."""
     names = {"lang": F.coalesce(docs[lang].cast("string"), F.lit("und")), "text": F.coalesce(docs[text], F.lit("")).cast("binary")}
-    schema = "shard long, lang string, words array<string>, counts array<long>, ids binary"
-    kinds = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary()]
+    schema = "shard long, lang string, words array<string>, counts array<long>, size long, ids binary"
+    kinds = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+    names_ = ["shard", "lang", "words", "counts", "size", "ids"]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -151,9 +170,8 @@ def shards(docs: DataFrame, text: str = "text", lang: str = "lang", shard_words:
         def row(name: str) -> pa.RecordBatch:
             words, ids = buffers.pop(name).take()
             counts = np.bincount(ids, minlength=len(words) + 1)[1:]
-            values = [[next(number)], [name], [words], [counts.tolist()], [ids.astype("<i4").tobytes()]]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], schema=pa.schema(
-                list(zip(["shard", "lang", "words", "counts", "ids"], kinds, strict=True))))
+            values = [[next(number)], [name], [words], [counts.tolist()], [len(ids)], [pack_ids(ids)]]
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names_)
 
         for batch in batches:
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -172,8 +190,8 @@ def shards(docs: DataFrame, text: str = "text", lang: str = "lang", shard_words:
 def _shard_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            shard, words, ids = (batch.column(c)[i].as_py() for c in (0, 1, 2))
-            index = WordIndex(np.frombuffer(ids, "<i4"), 2)
+            shard, words, size, ids = (batch.column(c)[i].as_py() for c in range(4))
+            index = WordIndex(unpack_ids(ids, size), 2)
             pairs, _, _, size = index.left(*index.singles)
             keys = pair_keys(hash_words(words), pairs)
             for at in range(0, len(keys), 1 << 16):
@@ -193,7 +211,7 @@ def shard_phrases(shard: pd.DataFrame, pairs: pd.DataFrame, longest: int) -> pd.
     phrases, counts = [], []
     wanted = np.sort(pairs["pair"].to_numpy(np.int64))
     for _, row in shard.iterrows():
-        index, words = WordIndex(np.frombuffer(row["ids"], "<i4"), longest), list(row["words"])
+        index, words = WordIndex(unpack_ids(row["ids"], row["size"]), longest), list(row["words"])
         hashes, names = hash_words(words), np.array(["", *words], object)
 
         def kept(found: tuple[np.ndarray, ...], ends: slice) -> tuple[np.ndarray, ...]:
@@ -224,14 +242,14 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     single = single.groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("f"))
     single = materialise(single, "words")
     n = single.groupBy("lang").agg(F.sum("f").alias("n"))
-    pairs = held.select("shard", "words", "ids").mapInArrow(_shard_pairs, "shard long, pair long, n long")
+    pairs = held.select("shard", "words", "size", "ids").mapInArrow(_shard_pairs, "shard long, pair long, n long")
     over = F.sum("n").over(Window.partitionBy("pair"))
     pairs = pairs.withColumn("n", over).where(F.col("n") >= least).select("shard", "pair")
 
     def count_in(shard: pd.DataFrame, frequent: pd.DataFrame) -> pd.DataFrame:
         return shard_phrases(shard, frequent, longest)
 
-    both = held.select("shard", "lang", "words", "ids").groupBy("shard").cogroup(pairs.groupBy("shard"))
+    both = held.select("shard", "lang", "words", "size", "ids").groupBy("shard").cogroup(pairs.groupBy("shard"))
     counted = both.applyInPandas(count_in, "lang string, phrase string, f long")
     counted = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     found = materialise(single.union(counted).where(F.col("f") >= least), "phrases")
