@@ -37,6 +37,7 @@ from entityfold.operators.relate import (
     two_path,
 )
 from entityfold.operators.verify import (
+    count_on_the_way,
     check_documents,
     check_unique,
     coverage,
@@ -57,6 +58,7 @@ __all__ = [
     "check_documents",
     "check_unique",
     "compare_counts",
+    "count_on_the_way",
     "coverage",
     "coverage_shortfalls",
     "extract_releases",

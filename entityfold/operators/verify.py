@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -84,6 +84,14 @@ def coverage(doc: DataFrame, counters: Mapping[str, Column]) -> DataFrame:
     )
 
 
+def count_on_the_way(doc: DataFrame, counters: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """The documents as they are, and the counts of ``coverage`` over them, which whatever first runs
+    over them gathers: a write then needs no pass of its own for its checks."""
+    seen = Observation()
+    counts = [F.count_if(c).alias(n) for n, c in counters.items()]
+    return doc.observe(seen, F.count(F.lit(1)).alias("total"), *counts), seen
+
+
 def _long(cov: DataFrame) -> DataFrame:
     names = [c for c in cov.columns if c != "total"]
     return cov.unpivot(["total"], names, "name", "got")

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityfold.operators import (
     GateError,
-    assert_no_fanout,
     assert_unique,
     bucket_counts,
     check_documents,
     check_unique,
     compare_counts,
+    count_on_the_way,
     coverage,
     coverage_shortfalls,
     flag_capped_chunks,
@@ -38,7 +39,9 @@ from entityfold.sinks import (
     write_metadata,
     write_shards,
 )
+from entityfold.sinks.store import Steps, Store
 from entityfold.sources import (
+    first_bad_record,
     pick_snapshot,
     read_delimited,
     read_grant_awards,
@@ -51,13 +54,16 @@ from entityfold.sources import (
 from entityfold.sources.snapshots import income_year_in, year_in
 
 
+# The last file of a release: without it nothing of a version counts as released.
+MARK = "_RELEASED"
+SEPARATORS = {"literal": ("\t", False), "quoted": (",", True)}
+
+
 def typed_source(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
     """Read one side register's file and bring it to its typed table."""
     match spec.form:
-        case "literal":
-            raw = read_delimited(spark, path, "\t", quoting=False)
-        case "quoted":
-            raw = read_delimited(spark, path, ",", quoting=True)
+        case "literal" | "quoted":
+            raw = read_delimited(spark, path, *SEPARATORS[spec.form])
         case "workbook":
             raw = read_workbook_grid(spark, path)
         case "releases":
@@ -78,29 +84,28 @@ def _table(folder: str, version: str, name: str) -> str:
 
 
 def publish(
-    rows: DataFrame, target: str, gate: Callable[[DataFrame], object] | None = None
+    rows: DataFrame, target: str, gate: Callable[..., object] | None = None, counters: Mapping[str, Column] | None = None
 ) -> DataFrame:
     """Write a table beside its target, check it there, and only then move it into place.
 
     After a failure nothing is at the target and nothing is left beside it. A table that is
-    already there is an error.
+    already there is an error. With ``counters`` the gate also gets ``total`` and the number of
+    rows that meet each of them, counted as the rows are written.
     """
     spark = rows.sparkSession
-    jvm = spark.sparkContext._jvm
-    final = jvm.org.apache.hadoop.fs.Path(target)
-    store = final.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if store.exists(final):
+    store = Store(spark, target)
+    if store.exists(target):
         raise GateError(f"{target} is there already")
     parent, _, name = target.rpartition("/")
-    beside = jvm.org.apache.hadoop.fs.Path(f"{parent}/_staging-{name}-{uuid.uuid4().hex}")
+    beside = f"{parent}/_staging-{name}-{uuid.uuid4().hex}"
+    written, seen = (rows, None) if counters is None else count_on_the_way(rows, counters)
     try:
-        rows.write.parquet(beside.toString())
+        written.write.parquet(beside)
         if gate is not None:
-            gate(spark.read.schema(rows.schema).parquet(beside.toString()))
-        if not store.rename(beside, final):
-            raise GateError(f"{target} can't be put in place")
+            gate(spark.read.schema(rows.schema).parquet(beside), *([] if seen is None else [seen.get]))
+        store.rename(beside, target)
     finally:
-        store.delete(beside, True)
+        store.delete(beside)
     return spark.read.schema(rows.schema).parquet(target)
 
 
@@ -179,7 +184,11 @@ def load_sources(
             rows = typed_source(spark, spec, paths[spec.key])
             publish(rows, _table(folder, version, spec.key), gate)
         except Exception as error:  # noqa: BLE001 - reported per source, raised by the caller
-            report.failures[spec.key] = f"{type(error).__name__}: {error}"
+            why = f"{type(error).__name__}: {error}"
+            if "MALFORMED_RECORD" in why and spec.form in SEPARATORS:
+                sep, quoting = SEPARATORS[spec.form]
+                why += f"; first bad record: {first_bad_record(spark, paths[spec.key], sep, quoting)}"
+            report.failures[spec.key] = why
     return report
 
 
@@ -220,16 +229,23 @@ class Verdict:
         return not (self.failures or self.repeated_ids or self.shortfalls)
 
 
-def verify(docs: DataFrame, profile: str) -> Verdict:
+def document_counters() -> dict[str, Column]:
+    """What ``verify`` counts over documents: the covered parts, and the breaches of each rule."""
+    broken = {f"rule {n}": ~F.coalesce(ok, F.lit(False)) for n, ok in contract_rules().items()}
+    return coverage_counters() | broken
+
+
+def verify(docs: DataFrame, profile: str, tally: Mapping[str, int] | None = None) -> Verdict:
     """Contract, checksum, uniqueness and coverage of written documents.
 
-    Coverage and rules are counted in one pass; offending documents are looked up only
-    when a rule has failed.
+    ``tally`` has the counts of ``document_counters`` if they were gathered as the documents were
+    written; else they are counted in one pass. Offending documents are looked up only when a
+    rule has failed.
     """
     spark = docs.sparkSession
     counters, rules = coverage_counters(), contract_rules()
-    broken = {f"rule {n}": ~F.coalesce(ok, F.lit(False)) for n, ok in rules.items()}
-    tally = coverage(docs, counters | broken).first()
+    if tally is None:
+        tally = coverage(docs, document_counters()).first()
     covered = {n: tally[n] for n in counters}
     failures = {n: tally[f"rule {n}"] for n in rules if tally[f"rule {n}"]}
 
@@ -262,41 +278,78 @@ def build_release(
     report: LoadReport | None = None,
     absent: Collection[str] = (),
     extracted: Mapping[str, str] | None = None,
+    urls: Mapping[str, str] | None = None,
     prior: DataFrame | None = None,
     threshold: float = 0.1,
 ) -> DataFrame:
-    """Build, check and write the documents of a loaded version; return its bucket counts.
+    """Build, check and release the documents of a loaded version; return its bucket counts.
 
     The documents are written once as a table; checks, counts and shards all read that
-    table. Neither the table nor anything under ``out`` is published unless the checks pass.
-    Sources that ``report`` calls failed, and side tables that are missing, stop the build
+    table. Sources that ``report`` calls failed, and side tables that are missing, stop the build
     unless they are named in ``absent``.
 
     A release is shards, one bundle in order of ids, the awards per recipient, and metadata:
-    counts, files, and sources with the day each was extracted on (``extracted``, by source).
-    With ``prior``, the counts of the release before, it also has the comparison with it.
+    counts, files, and sources with the day each was extracted on (``extracted``) and where it came
+    from (``urls``), by source. With ``prior``, the counts of the release before, it also has the
+    comparison with it.
+
+    All of it is made in a folder beside ``out``, step by step, and moved to ``out`` when it is whole;
+    the mark of the release, in the version's tables and in ``out``, is written last. Until then
+    the version counts as not released (``released``). A build that failed half-way is run again:
+    steps that were finished under the same settings are kept, all else is dropped and made anew.
+    A released version is not written again.
     """
     failed = {n: why for n, why in (report.failures if report else {}).items() if n not in absent}
     if failed:
         raise GateError(f"sources that were not loaded: {failed}")
+    out = out.rstrip("/")
+    store, tables = Store(spark, out), Store(spark, folder)
+    if (known := released(spark, folder, version)) is not None:
+        raise GateError(f"version {version} is released already, in {known}")
+    parent, _, name = out.rpartition("/")
+    beside = f"{parent}/_staging-{name}"
+    if store.exists(out) and not store.exists(f"{out}/_steps"):
+        raise GateError(f"{out} is there already and holds something else")
+    if store.exists(out) and store.exists(beside):  # moving it was interrupted
+        store.delete(out)
+    if store.exists(out):
+        store.rename(out, beside)
+
     base = spark.read.schema(fixed.TABLES["abn"]).parquet(_table(folder, version, "abn"))
     dims = read_dims(spark, folder, version, absent)
 
-    def gate(docs: DataFrame) -> None:
-        assert_no_fanout(base.select(F.col("abn").alias("_id")), docs.select("_id"), "_id")
-        verdict = verify(docs, profile)
+    def gate(docs: DataFrame, tally: Mapping[str, int]) -> None:
+        entities = base.count()
+        if tally["total"] != entities:
+            raise GateError(f"rows were multiplied or lost: {tally['total']} documents of {entities} entities")
+        verdict = verify(docs, profile, tally)
         if not verdict.ok:
             raise GateError(f"documents are not fit to publish: {verdict}")
 
+    target = _table(folder, version, "documents")
+    loaded = {t: tables.changed(_table(folder, version, t)) for t in fixed.TABLES}
+    settings = {"version": version, "loaded": loaded, "absent": sorted(absent), "profile": profile}
+    steps = Steps(store, beside, settings)
     built = build_documents(base, dims, version)
-    docs = publish(built, _table(folder, version, "documents"), gate)
-
-    write_shards(docs, f"{out}/shards", "state", shards=shards)
+    steps.run("documents", target, lambda: publish(built, target, gate, document_counters()))
+    docs = spark.read.schema(built.schema).parquet(target)
     counts = bucket_counts(docs, "state")
-    require_empty(shard_order_breaks(spark, f"{out}/shards"), "shard is not in order of its ids")
-    manifest = build_manifest(spark, f"{out}/shards", counts)
-    manifest = publish(manifest, f"{out}/manifest")  # hashed once, read by all that follow
-    files = write_bundle(spark, f"{out}/shards", f"{out}/bundle", manifest)
+
+    def in_order() -> None:
+        write_shards(docs, f"{beside}/shards", "state", shards=shards)
+        breaks = shard_order_breaks(spark, f"{beside}/shards")
+        require_empty(breaks, "shard is not in order of its ids")
+
+    steps.run("shards", f"{beside}/shards", in_order, shards=shards)
+    hashed = f"{beside}/manifest"  # hashed once, read by all that follows
+    steps.run("manifest", hashed, lambda: build_manifest(spark, f"{beside}/shards", counts).write.parquet(hashed))
+    files = f"{beside}/files"
+
+    def bundled() -> None:
+        both = write_bundle(spark, f"{beside}/shards", f"{beside}/bundle", spark.read.parquet(hashed))
+        both.write.mode("overwrite").parquet(files)
+
+    steps.run("bundle", f"{beside}/bundle", bundled)
     awards = dims["gov_grants"].select(
         F.col("abn").alias("recipient"),
         (F.col("total_value_aud") * 100).cast("bigint").alias("cents"),
@@ -304,18 +357,38 @@ def build_release(
         F.col("first_grant_date").alias("first_published"),
         F.col("last_grant_date").alias("last_published"),
     )
-    write_awards(awards, f"{out}/awards")
-    days = extracted or {}
-    sources = spark.createDataFrame(
-        [(*row, days.get(row[0])) for row in fixed.ATTRIBUTIONS],
-        "source string, name string, licence string, attribution string, extracted string",
-    )
-    write_metadata(f"{out}/metadata", version, schema_version, counts, files, sources)
+    steps.run("awards", f"{beside}/awards", lambda: write_awards(awards, f"{beside}/awards"))
+    days, places = extracted or {}, urls or {}
+    rows = [(*row, places.get(row[0]), days.get(row[0])) for row in fixed.ATTRIBUTIONS]
+    shape = "source string, name string, licence string, attribution string, url string, extracted string"
+
+    def described() -> None:
+        sources, held = spark.createDataFrame(rows, shape), spark.read.parquet(files)
+        write_metadata(f"{beside}/metadata", version, schema_version, counts, held, sources)
+
+    steps.run("metadata", f"{beside}/metadata", described, schema=schema_version, sources=rows)
     if prior is not None:
-        write_comparison(compare_releases(counts, prior, threshold)[0], f"{out}/comparison")
+        report_of = compare_releases(counts, prior, threshold)[0]
+        before = sorted(tuple(r) for r in with_total(prior).collect())  # one row per bucket
+        steps.run(
+            "comparison", f"{beside}/comparison",
+            lambda: write_comparison(report_of, f"{beside}/comparison"), prior=before, threshold=threshold,
+        )
+    else:
+        store.delete(f"{beside}/comparison")
+    store.rename(beside, out)
+    mark = json.dumps({"version": version, "out": out})
+    store.write(f"{out}/{MARK}", mark)
+    tables.write(_table(folder, version, MARK), mark)
     return counts
 
 
+def released(spark: SparkSession, folder: str, version: str) -> str | None:
+    """The folder of a version's release, or None as long as it is not released in full."""
+    mark = Store(spark, folder).read(_table(folder, version, MARK))
+    return None if mark is None else json.loads(mark)["out"]
+
+
 def compare_releases(
     current: DataFrame, prior: DataFrame, threshold: float
 ) -> tuple[DataFrame, bool]:

@@ -1,9 +1,14 @@
 """Readers. Each returns a DataFrame and fails on malformed input instead of skipping it."""
 
 from entityfold.sources.delimited import (
+    bad_records,
     delimited_facts,
+    first_bad_record,
     gate_quotes,
     gate_rectangular,
+    numbered_records,
+    open_records,
+    ragged_records,
     read_delimited,
 )
 from entityfold.sources.ocds import read_ocds
@@ -23,14 +28,19 @@ from entityfold.sources.workbook import (
 )
 
 __all__ = [
+    "bad_records",
     "cell_at",
     "decode_workbooks",
     "delimited_facts",
+    "first_bad_record",
     "gate_quotes",
     "gate_rectangular",
     "gate_whole_documents",
     "locate_header",
+    "numbered_records",
+    "open_records",
     "pick_snapshot",
+    "ragged_records",
     "read_delimited",
     "read_grant_awards",
     "read_listing",

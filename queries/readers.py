@@ -33,14 +33,16 @@ from entityfold.sinks import (
 )
 from entityfold.sources import (
     decode_workbooks,
+    bad_records,
     delimited_facts,
+    open_records,
+    ragged_records,
     read_delimited,
     read_grant_awards,
     read_ocds,
     read_register_xml,
     register_rows,
 )
-from entityfold.sources.delimited import ragged_records
 from entityfold.sources.ocds import POSITION
 from queries.aggregates import releases_of
 from queries.registry import big, query, table
@@ -114,8 +116,70 @@ def ragged_files(spark, d):
         .option("sep", "\x01")
         .csv(folder)
     )
-    found = ragged_records(spark, folder, ["key", "priority"], ",", True, False)
-    return found.where("example is not null").agg(F.sum("records").alias("ragged"))
+    found = ragged_records(spark, folder, ["key", "priority"], ",", True)
+    return found.where("example is not null and line > 1").agg(F.sum("records").alias("ragged"))
+
+
+def _monthly_files(spark, orders, record, name):
+    """A file of raw records per month of the orders, in order of their keys, under a header."""
+    folder = fresh_folder(spark, name)
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("month")
+    rows = orders.select(month, "o_orderkey", record.alias("value"))
+    header = F.lit("key,priority,note").alias("value")
+    heads = orders.select(month).distinct().select("month", F.lit(None).alias("o_orderkey"), header)
+    (
+        rows.union(heads)
+        .repartition("month")
+        .sortWithinPartitions("month", F.col("o_orderkey").asc_nulls_first())
+        .select("month", "value")
+        .write.partitionBy("month")
+        .text(folder)
+    )
+    return folder
+
+
+def _in_month(path="path"):
+    return F.regexp_extract(path, "month=([0-9-]+)", 1).alias("month")
+
+
+@query("""
+    WITH o AS (
+        SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderkey,
+               2 + coalesce(sum(1 + o_orderkey % 3) OVER (
+                   PARTITION BY month ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line
+        FROM orders)
+    SELECT month, CAST(line AS BIGINT) AS line, CAST(o_orderkey AS VARCHAR) AS key
+    FROM o WHERE o_orderkey % 41 = 0 OR o_orderkey % 59 = 0
+""")
+def bad_record_lines(spark, d):
+    """The line on which each record of a wrong width begins, in files with line breaks in quotes."""
+    key = F.col("o_orderkey")
+    note = F.concat(F.lit('"a, ""b""'), F.repeat(F.lit('\n""'), (key % 3).cast("int")), F.lit('"'))
+    wide = F.when(key % 41 == 0, F.concat_ws(",", key.cast("string"), "o_orderpriority", note, F.lit("more")))
+    narrow = F.when(key % 59 == 0, F.concat_ws(",", key.cast("string"), note))
+    record = F.coalesce(wide, narrow, F.concat_ws(",", key.cast("string"), "o_orderpriority", note))
+    folder = _monthly_files(spark, table(spark, d, "orders"), record, "bad-records")
+    found = bad_records(spark, folder, ["key", "priority", "note"], ",", True)
+    return found.select(_in_month(), "line", F.substring_index("text", ",", 1).alias("key"))
+
+
+@query("""
+    WITH o AS (
+        SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderkey,
+               row_number() OVER (PARTITION BY month ORDER BY o_orderkey DESC) AS from_end,
+               1 + count(*) OVER (PARTITION BY month ORDER BY o_orderkey) AS line
+        FROM orders)
+    SELECT month, CAST(line AS BIGINT) AS line FROM o WHERE from_end = 1 AND o_orderkey % 2 = 0
+""")
+def open_record_lines(spark, d):
+    """Files whose last record has a quote that never closes, and the line on which it begins."""
+    orders = table(spark, d, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    ends = orders.groupBy("month").agg(F.max("o_orderkey").alias("last")).where("last % 2 = 0")
+    known = orders.join(ends, "month", "left")
+    note = F.when(F.col("last") == F.col("o_orderkey"), F.lit('"open')).otherwise(F.lit('"note"'))
+    record = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderpriority", note)
+    folder = _monthly_files(spark, known, record, "open-records")
+    return open_records(spark, folder).select(_in_month(), "line")
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, source FROM documents")

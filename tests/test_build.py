@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import json
+import shutil
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from entityfold.operators import GateError, bucket_counts
+from entityfold.plans import build
 from entityfold.plans import fixed_values as fixed
 from entityfold.plans.build import (
     LoadReport,
@@ -19,6 +21,7 @@ from entityfold.plans.build import (
     load_base,
     load_sources,
     read_dims,
+    released,
     verify,
 )
 from entityfold.plans.contract import coverage_counters, coverage_floors
@@ -29,6 +32,7 @@ from entityfold.sinks import (
     json_line,
     merge_shards,
     shard_order_breaks,
+    store,
     write_awards,
     write_bundle,
     write_comparison,
@@ -450,13 +454,22 @@ def test_checks_name_broken_documents(spark, built):
     assert verdict.examples == ["[checksum] 12345678901"]
 
 
+def test_checks_are_counted_in_the_writing_pass(spark, built, tmp_path):
+    docs, seen = built["docs"], {}
+    odd = docs.unionByName(docs.where(f"_id = '{FIRM}'")).replace(SOLE, "12345678901", "_id")
+    copy = build.publish(odd, str(tmp_path / "odd"), lambda t, tally: seen.update(tally), build.document_counters())
+    assert seen == build.coverage(copy, build.document_counters()).first().asDict()
+    assert verify(copy, "production", seen) == verify(copy, "production")
+    assert seen["total"] == 9 and seen["rule checksum"] == 1
+
+
 def test_failed_source_is_reported_and_others_go_on(spark, tmp_path):
     paths = landing.side_files(tmp_path)
     Path(paths["wgea_reporter"]).write_text("Primary ABN,Primary Organisation,ABN\n1,2\n")
     specs = [s for s in SOURCES if s.key in ("wgea_reporter", "gov_spend", "asic_credit_rep")]
     floors = {"asic_credit_rep": 2}
     report = load_sources(spark, specs, paths, str(tmp_path / "t"), VERSION, floors)
-    assert "wgea_reporter.csv" in report.failures["wgea_reporter"]
+    assert "wgea_reporter.csv at line 2" in report.failures["wgea_reporter"]
     assert report.failures["asic_credit_rep"] == "GateError: 1 rows, fewer than 2"
     assert report.rows == {"asic_credit_rep": 1, "gov_spend": 2}
     assert [p.name for p in (tmp_path / "t").glob("*/*")] == ["gov_spend"]
@@ -486,6 +499,97 @@ def test_release_needs_complete_sources(spark, tmp_path):
     assert [p.name for p in (tmp_path / "t").glob("*/*")] == ["abn"]
 
 
+BROKEN = {
+    "documents": ("write_shards", "shards"),
+    "shards": ("build_manifest", "manifest"),
+    "manifest": ("write_bundle", "bundle"),
+    "bundle": ("write_awards", "awards"),
+    "awards": ("write_metadata", "metadata"),
+}
+
+
+@pytest.mark.parametrize("after", BROKEN)
+def test_release_goes_on_after_a_failure(spark, tmp_path, built, monkeypatch, after):
+    tables, out = tmp_path / "t", tmp_path / "out" / "release"
+    shutil.copytree(built["tables"], tables, ignore=shutil.ignore_patterns("documents", "_RELEASED", "._*"))
+    call, target = BROKEN[after]
+    whole = getattr(build, call)
+
+    def half(*args, **more):
+        whole(*args, **more)
+        raise OSError("a lost disk")
+
+    def release(**more):
+        return build_release(spark, str(tables), VERSION, str(out), profile="fixture", shards=3, **more)
+
+    documents = tables / "version=20260628" / "documents"
+    with monkeypatch.context() as broken, pytest.raises(OSError, match="a lost disk"):
+        broken.setattr(build, call, half)
+        release()
+    assert released(spark, str(tables), VERSION) is None and not out.exists()
+    first = {f.name for f in documents.glob("*.parquet")}
+    left = {f.name for f in (out.parent / "_staging-release" / target).glob("**/*.gz")}
+    assert release().agg(F.sum("n")).first()[0] == 8
+    assert {f.name for f in documents.glob("*.parquet")} == first  # kept, not built again
+    assert not left & {f.name for f in (out / target).glob("**/*.gz")}  # dropped and made anew
+    assert released(spark, str(tables), VERSION) == str(out)
+    assert not (out.parent / "_staging-release").exists()
+    assert spark.read.json(f"{out}/metadata/files").where("aggregate").agg(F.sum("records")).first()[0] == 8
+    with pytest.raises(GateError, match="released already"):
+        release()
+
+
+def test_what_a_release_keeps_depends_on_its_settings(spark, tmp_path, built, monkeypatch):
+    tables, out = tmp_path / "t", tmp_path / "release"
+    shutil.copytree(built["tables"], tables, ignore=shutil.ignore_patterns("documents", "_RELEASED", "._*"))
+
+    def stop(*args, **more):
+        raise OSError("a lost disk")
+
+    def release(profile):
+        return build_release(spark, str(tables), VERSION, str(out), profile=profile, urls={"abn": "https://x.test/abn"})
+
+    with monkeypatch.context() as broken, pytest.raises(OSError, match="a lost disk"):
+        broken.setattr(build, "write_bundle", stop)
+        release("off")
+    documents = tables / "version=20260628" / "documents"
+    first = {f.name for f in documents.glob("*.parquet")}
+    release("fixture")  # other floors: all is checked and made again
+    assert not first & {f.name for f in documents.glob("*.parquet")}
+    sources = spark.read.json(f"{out}/metadata/sources")
+    assert [r["source"] for r in sources.where("url = 'https://x.test/abn'").collect()] == ["abn"]
+
+
+def test_a_folder_of_something_else_is_left_alone(spark, tmp_path, built):
+    tables, out = tmp_path / "t", tmp_path / "release"
+    shutil.copytree(built["tables"], tables, ignore=shutil.ignore_patterns("documents", "_RELEASED", "._*"))
+    out.mkdir()
+    (out / "mine.txt").write_text("mine")
+    with pytest.raises(GateError, match="something else"):
+        build_release(spark, str(tables), VERSION, str(out), profile="fixture")
+    assert (out / "mine.txt").read_text() == "mine"
+
+
+def test_a_move_that_was_interrupted_is_finished(spark, tmp_path, built, monkeypatch):
+    tables, out = tmp_path / "t", tmp_path / "release"
+    shutil.copytree(built["tables"], tables, ignore=shutil.ignore_patterns("documents", "_RELEASED", "._*"))
+    write = store.Store.write
+
+    def lost(self, path, content):
+        if path.endswith("_RELEASED"):
+            raise OSError("a lost disk")
+        write(self, path, content)
+
+    with monkeypatch.context() as broken, pytest.raises(OSError, match="a lost disk"):
+        broken.setattr(store.Store, "write", lost)
+        build_release(spark, str(tables), VERSION, str(out), profile="fixture")
+    assert out.exists() and released(spark, str(tables), VERSION) is None
+    bundle = {f.name for f in (out / "bundle").glob("*.gz")}
+    build_release(spark, str(tables), VERSION, str(out), profile="fixture")
+    assert released(spark, str(tables), VERSION) == str(out)
+    assert {f.name for f in (out / "bundle").glob("*.gz")} == bundle
+
+
 def test_compare_releases(rows, built):
     prior = rows([("nsw", 1), ("vic", 1), ("tas", 2), ("other", 2)], "bucket string, n bigint")
     report, odd = compare_releases(built["counts"], prior, 0.25)

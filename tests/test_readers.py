@@ -1,6 +1,8 @@
+import csv
 import gzip
 import io
 import json
+import random
 import zipfile
 
 import pytest
@@ -10,9 +12,12 @@ from entityfold.operators import GateError
 from entityfold.plans import normalise
 from entityfold.sources import (
     decode_workbooks,
+    delimited,
+    first_bad_record,
     gate_quotes,
     gate_rectangular,
     locate_header,
+    numbered_records,
     pick_snapshot,
     read_delimited,
     read_grant_awards,
@@ -109,6 +114,91 @@ def test_unterminated_quote(spark, tmp_path):
     assert tuples(read_delimited(spark, literal, "\t", quoting=False)) == [("1", '"open')]
 
 
+def awkward_files(tmp_path):
+    """Two files with line breaks, quotes and long runs of lines inside quotes; their rows."""
+    pick = random.Random(1)
+    parts = ["a", "b c", '"', "\n", "\r\n", ",", "é", "\r", "\n\n", "x" * 50]
+
+    def value():
+        return "".join(pick.choices(parts, weights=[9, 5, 2, 2, 1, 2, 1, 0.3, 0.3, 1], k=pick.randrange(9)))
+
+    one = [(str(i), value(), value()) for i in range(600)]
+    run = [pick.randrange(3000) if i % 50 == 0 else 0 for i in range(300)]
+    two = [(str(600 + i), value().replace("\r", ""), "z" + "\n" * n) for i, n in enumerate(run)]
+    for name, rows, end in (("a.csv", one, "\r\n"), ("b.csv", two, "\n")):
+        held = io.StringIO()
+        writer = csv.writer(held, lineterminator=end, quoting=csv.QUOTE_ALL)
+        writer.writerows([("k", "a", "b"), *rows])
+        write(tmp_path, held.getvalue(), name)
+    return [(k, a or None, b or None) for k, a, b in one + two]
+
+
+@pytest.mark.parametrize(("size", "most_blocks"), [(None, 200_000), ("2000", 200_000), ("700", 200_000), ("2000", 0)])
+def test_records_over_several_lines_are_read_in_splits(spark, tmp_path, monkeypatch, size, most_blocks):
+    monkeypatch.setattr(delimited, "MOST_BLOCKS", most_blocks)  # 0: blocks are met by a shuffle
+    want = awkward_files(tmp_path)
+    if size:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = read_delimited(spark, str(tmp_path), ",", quoting=True)
+        assert tuples(df) == sorted(want, key=repr)
+        if size and most_blocks:
+            assert df.rdd.getNumPartitions() > 15
+        found = numbered_records(spark, str(tmp_path / "b.csv"), quoting=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    lines = (tmp_path / "b.csv").read_bytes().decode().split("\n")
+    assert len(found) == 300
+    for r in found:  # each text stands on the line that it is said to begin on
+        assert r["text"] == "\n".join(lines[r["line"] - 1 : r["line"] + r["text"].count("\n")])
+
+
+@pytest.mark.parametrize(
+    ("text", "sep", "line"),
+    [
+        ('a,b\n1,"x\n\ny"\n2,3,4\n5,6\n', ",", 5),
+        ('a,b\r\n1,"x\r\ny"\r\n2,"3\r\n"\r\n5\r\n', ",", 6),
+        ("a,b\n1,2\n3\n4\n", ",", 3),
+        ('a\tb\n"1\t2\n3\t4\t5\n', "\t", 3),
+        ('a,b\n1,"x\ny"\n\n2,3\n', ",", 4),
+    ],
+)
+def test_the_line_of_a_bad_record(spark, tmp_path, text, sep, line):
+    path, quoting = write(tmp_path, text), sep == ","
+    assert first_bad_record(spark, path, sep, quoting).endswith(f"f.csv at line {line}")
+    with pytest.raises(GateError, match=f"'line': {line},"):
+        gate_rectangular(spark, path, sep, quoting)
+    if "\ny" in text and "\n\n2" not in text:  # records over several lines tell it themselves
+        with pytest.raises(Exception, match=f"f.csv at line {line}"):
+            read_delimited(spark, path, sep, quoting).select("a").collect()
+
+
+def test_no_bad_record(spark, tmp_path):
+    assert first_bad_record(spark, write(tmp_path, 'a,b\n1,"x\ny"\n'), ",", True) is None
+
+
+def test_where_an_open_quote_begins(spark, tmp_path):
+    path = write(tmp_path, 'a,b\n1,"x\ny"\n2,"open\n3,4\n')
+    with pytest.raises(GateError, match="starting at line 4"):
+        read_delimited(spark, path, ",", quoting=True)
+    with pytest.raises(GateError, match="'line': 4"):
+        gate_quotes(spark, path)
+
+
+def test_carriage_returns_alone(spark, tmp_path):
+    kept = write(tmp_path, 'a,b\n1,"x\ry"\n', "kept.csv")
+    assert tuples(read_delimited(spark, kept, ",", quoting=True)) == [("1", "x\ry")]
+    with pytest.raises(GateError, match="line break"):
+        read_delimited(spark, write(tmp_path, "a,b\r1,2\r", "old.csv"), ",", quoting=True)
+
+
+def test_one_column_over_several_lines(spark, tmp_path):
+    path = write(tmp_path, 'a\n"x\n\ny"\n\nz\n')
+    assert tuples(read_delimited(spark, path, ",", quoting=True)) == [("x\n\ny",), ("z",)]
+
+
 def test_headers(spark, tmp_path):
     with pytest.raises(GateError, match="collapse"):
         read_delimited(spark, write(tmp_path, "Sub Class,Sub-Class\n1,2\n"), ",", quoting=True)
