@@ -14,6 +14,7 @@ from entityfold.llm import queries, sharding
 from queries.registry import Query
 from tests import oracle
 from tests.llm import brute
+from tests.llm.test_near_copies import groups_of
 
 FOLDER = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path(queries.BYTE_BPE)
@@ -164,8 +165,8 @@ def test_pipeline(spark, docs, model):
     judged = [(r.doc_id in kept) == bool(label[r.doc_id]) for r in before if r.doc_id in label]
     assert sum(judged) >= 0.95 * len(judged)
     before, after = seen["simhash_near_dedup"]
-    groups = brute.near_duplicates([(d.doc_id, d.text) for d in before])
-    assert {r.doc_id for r in after} == {i for i, (_, component) in groups.items() if i == component}
+    groups = groups_of([(d.doc_id, d.text) for d in before])
+    assert {r.doc_id for r in after} == {i for i, component in groups.items() if i == component}
     before, after = seen["substring_dedup"]
     want = brute.without_repeats([(d.doc_id, d.text) for d in before])
     original = {d.doc_id: d.text for d in before}
