@@ -39,6 +39,7 @@ from entityfold.sinks import (
     write_metadata,
     write_shards,
 )
+from entityfold.sinks.buckets import buckets_kept, read_table, write_bucketed
 from entityfold.sinks.store import Steps, Store
 from entityfold.sources import (
     first_bad_record,
@@ -54,6 +55,15 @@ from entityfold.sources import (
 from entityfold.sources.snapshots import income_year_in, year_in
 
 
+# Tables in which a row may lack the primary key.
+SECOND_KEY = (
+    "asic_afs_licence",
+    "asic_credit_licence",
+    "asic_afs_rep",
+    "asic_credit_rep",
+    "asic_banned_disqualified",
+    "rd_tax_incentive",
+)
 # The last file of a release: without it nothing of a version counts as released.
 MARK = "_RELEASED"
 SEPARATORS = {"literal": ("\t", False), "quoted": (",", True)}
@@ -84,13 +94,19 @@ def _table(folder: str, version: str, name: str) -> str:
 
 
 def publish(
-    rows: DataFrame, target: str, gate: Callable[..., object] | None = None, counters: Mapping[str, Column] | None = None
+    rows: DataFrame,
+    target: str,
+    gate: Callable[..., object] | None = None,
+    counters: Mapping[str, Column] | None = None,
+    key: str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Write a table beside its target, check it there, and only then move it into place.
 
     After a failure nothing is at the target and nothing is left beside it. A table that is
     already there is an error. With ``counters`` the gate also gets ``total`` and the number of
-    rows that meet each of them, counted as the rows are written.
+    rows that meet each of them, counted as the rows are written. With ``buckets`` the table is
+    laid out in so many buckets of ``key``.
     """
     spark = rows.sparkSession
     store = Store(spark, target)
@@ -100,13 +116,16 @@ def publish(
     beside = f"{parent}/_staging-{name}-{uuid.uuid4().hex}"
     written, seen = (rows, None) if counters is None else count_on_the_way(rows, counters)
     try:
-        written.write.parquet(beside)
+        if buckets and key:
+            write_bucketed(written, beside, key, buckets)
+        else:
+            written.write.parquet(beside)
         if gate is not None:
             gate(spark.read.schema(rows.schema).parquet(beside), *([] if seen is None else [seen.get]))
         store.rename(beside, target)
     finally:
         store.delete(beside)
-    return spark.read.schema(rows.schema).parquet(target)
+    return read_table(spark, target, rows.schema)
 
 
 def choose_files(spark: SparkSession, landing: str, specs: list[SourceSpec]) -> dict[str, str]:
@@ -150,10 +169,17 @@ class LoadReport:
     failures: dict[str, str] = field(default_factory=dict)
 
 
-def load_base(spark: SparkSession, paths: str | list[str], folder: str, version: str) -> DataFrame:
-    """Load the register's XML files into the base table of a version: all of it or nothing."""
+def load_base(
+    spark: SparkSession, paths: str | list[str], folder: str, version: str, buckets: int | None = None
+) -> DataFrame:
+    """Load the register's XML files into the base table of a version: all of it or nothing.
+
+    With ``buckets``, here and in ``load_sources`` the same, tables are laid out by their key, and a
+    build of documents joins them without moving them.
+    """
     rows = register_rows(read_register_xml(spark, paths))
-    return publish(rows, _table(folder, version, "abn"), lambda t: assert_unique(t, "abn"))
+    target = _table(folder, version, "abn")
+    return publish(rows, target, lambda t: assert_unique(t, "abn"), key="abn", buckets=buckets)
 
 
 def load_sources(
@@ -163,9 +189,13 @@ def load_sources(
     folder: str,
     version: str,
     floors: Mapping[str, int] | None = None,
+    buckets: int | None = None,
 ) -> LoadReport:
     """Load the side registers, each on its own: one that fails does not stop the others.
 
+    With ``buckets``, tables in which every row has the primary key are laid out by it. Those with
+    a second key are not: their rows without the first would share a bucket.
+
     ``floors`` defaults to the published ones. A source that fails or gives fewer rows than
     its floor leaves no table.
     """
@@ -182,7 +212,8 @@ def load_sources(
             if spec.key not in paths:
                 raise GateError("no file for this source")
             rows = typed_source(spark, spec, paths[spec.key])
-            publish(rows, _table(folder, version, spec.key), gate)
+            key = None if spec.key in SECOND_KEY else "abn"
+            publish(rows, _table(folder, version, spec.key), gate, key=key, buckets=buckets)
         except Exception as error:  # noqa: BLE001 - reported per source, raised by the caller
             why = f"{type(error).__name__}: {error}"
             if "MALFORMED_RECORD" in why and spec.form in SEPARATORS:
@@ -201,7 +232,7 @@ def read_dims(
         if name == "abn":
             continue
         try:
-            dims[name] = spark.read.schema(schema).parquet(_table(folder, version, name))
+            dims[name] = read_table(spark, _table(folder, version, name), schema)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -315,7 +346,7 @@ def build_release(
     if store.exists(out):
         store.rename(out, beside)
 
-    base = spark.read.schema(fixed.TABLES["abn"]).parquet(_table(folder, version, "abn"))
+    base = read_table(spark, _table(folder, version, "abn"), fixed.TABLES["abn"])
     dims = read_dims(spark, folder, version, absent)
 
     def gate(docs: DataFrame, tally: Mapping[str, int]) -> None:
@@ -331,7 +362,8 @@ def build_release(
     settings = {"version": version, "loaded": loaded, "absent": sorted(absent), "profile": profile}
     steps = Steps(store, beside, settings)
     built = build_documents(base, dims, version)
-    steps.run("documents", target, lambda: publish(built, target, gate, document_counters()))
+    with buckets_kept(spark):
+        steps.run("documents", target, lambda: publish(built, target, gate, document_counters()))
     docs = spark.read.schema(built.schema).parquet(target)
     counts = bucket_counts(docs, "state")
 

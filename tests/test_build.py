@@ -25,7 +25,7 @@ from entityfold.plans.build import (
     verify,
 )
 from entityfold.plans.contract import coverage_counters, coverage_floors
-from entityfold.plans.document import DOCUMENT_FIELDS
+from entityfold.plans.document import DOCUMENT_FIELDS, build_documents
 from entityfold.plans.normalise import SOURCES
 from entityfold.sinks import (
     build_manifest,
@@ -38,6 +38,7 @@ from entityfold.sinks import (
     write_comparison,
     write_shards,
 )
+from entityfold.sinks.buckets import buckets_kept, read_table
 from queries.documents import documents as documents_of
 from tests import landing
 from tests.landing import BARE, CLASH, FIRM, GONE, MATCH, MONO, SOLE, TRUST
@@ -454,6 +455,38 @@ def test_checks_name_broken_documents(spark, built):
     assert verdict.examples == ["[checksum] 12345678901"]
 
 
+def test_bucketed_tables_are_joined_where_they_are(spark, built, tmp_path):
+    folder, landed = str(tmp_path / "t"), tmp_path / "landing"
+    landed.mkdir()
+    load_base(spark, landing.register_files(landed), folder, VERSION, buckets=8)
+    report = load_sources(spark, SOURCES, landing.side_files(landed), folder, VERSION, {}, buckets=8)
+    assert report.failures == {}
+    wide, dims = read_table(spark, f"{folder}/version=20260628/abn", fixed.TABLES["abn"]), read_dims(spark, folder, VERSION)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with buckets_kept(spark):
+            docs = build_documents(wide, dims, VERSION)
+            plan = docs._jdf.queryExecution().executedPlan().toString()
+            got = docs.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    got.sort(key=lambda d: d["_id"])
+    assert got == built["docs"].orderBy("_id").collect()
+    lines = plan.splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line]
+
+    def moved(column):
+        found = [i for i in scans if column in lines[i]]
+        assert found
+        return [sum("Exchange" in line for line in _ancestors(lines, lines[i])) for i in found]
+
+    for column in ("business_names#", "company_name#", "total_value_aud#", "charity_name#", "primary_organisation#", "taxable_income#"):
+        assert moved(column) in ([0], [0, 0]), column
+    counts = [sum(1 for _ in files.glob("*.parquet")) for files in Path(folder).glob("*/asic_company")]
+    assert counts and max(counts) <= 8
+
+
 def test_checks_are_counted_in_the_writing_pass(spark, built, tmp_path):
     docs, seen = built["docs"], {}
     odd = docs.unionByName(docs.where(f"_id = '{FIRM}'")).replace(SOLE, "12345678901", "_id")
