@@ -20,18 +20,14 @@ from entityfold.operators.relate import first_seen
 def _party_keys(scheme: str, role: str, n_digits: int) -> Column:
     """The distinct n-digit keys of the parties with this role, first or additional identifiers."""
 
-    def identifiers(party: Column) -> Column:
-        extra = party["additionalIdentifiers"]
-        none = F.array().cast("array<struct<scheme:string,id:string>>")
-        return F.concat(F.array(party["identifier"]), F.coalesce(extra, none))
-
     with_role = F.filter(
         "parties", lambda p: F.coalesce(F.array_contains(p["roles"], role), F.lit(False))
     )
-    ids = F.flatten(F.transform(with_role, identifiers))
-    in_scheme = F.filter(ids, lambda i: F.coalesce(i["scheme"] == scheme, F.lit(False)))
-    cleaned = F.transform(in_scheme, lambda i: quick_digits(i["id"]))
-    right_size = F.filter(cleaned, lambda k: F.length(k) == n_digits)
+    # A field of an array of structs is the array of that field, without a function per element.
+    extra = F.flatten(F.array_compact(with_role["additionalIdentifiers"]))
+    ids = F.concat(with_role["identifier"], extra)
+    keys = F.transform(ids, lambda i: F.when(i["scheme"] == scheme, quick_digits(i["id"])))
+    right_size = F.filter(keys, lambda k: F.length(k) == n_digits)
     return F.coalesce(F.array_distinct(right_size), F.array().cast("array<string>"))
 
 
@@ -47,15 +43,15 @@ def extract_releases(
     ``cents`` sums all contracts of the release; ``signed`` is the earliest signing
     date. Narrow on purpose: this is what the de-duplication shuffles.
     """
-    contracts = F.coalesce("contracts", F.array().cast(releases.schema["contracts"].dataType))
     # One step per transform: inside a lambda Spark evaluates a repeated part again. Amounts
     # are nearly always plain, so white space is looked for only where the plain form fails.
-    numbers = F.transform(contracts, lambda c: amount_number(c["value"]["amount"]))
+    amounts = F.coalesce("contracts.value.amount", F.array().cast("array<string>"))
+    numbers = F.transform(amounts, amount_number)
     zero = F.lit(0).cast("bigint")
     cents = F.aggregate(
         numbers, zero, lambda total, n: total + F.coalesce(to_cents(finite(n)), zero)
     )
-    signed = F.array_min(F.transform(contracts, lambda c: first_ten(c["dateSigned"])))
+    signed = F.array_min(F.transform("contracts.dateSigned", first_ten))
     return releases.select(
         "ocid",
         *position,

@@ -34,12 +34,11 @@ from entityfold.sinks import (
     build_manifest,
     shard_order_breaks,
     write_awards,
-    write_bundle,
     write_comparison,
     write_metadata,
-    write_shards,
 )
 from entityfold.sinks.buckets import buckets_kept, read_table, write_bucketed
+from entityfold.sinks.slices import FILE_BYTES, write_line_bundle, write_line_shards, write_ordered_lines
 from entityfold.sinks.store import Steps, Store
 from entityfold.sources import (
     first_bad_record,
@@ -305,6 +304,7 @@ def build_release(
     out: str,
     profile: str = "production",
     shards: int | None = None,
+    max_bytes: int = FILE_BYTES,
     schema_version: str = "1",
     report: LoadReport | None = None,
     absent: Collection[str] = (),
@@ -319,6 +319,9 @@ def build_release(
     table. Sources that ``report`` calls failed, and side tables that are missing, stop the build
     unless they are named in ``absent``.
 
+    ``shards`` is the number of ranges of ids that the lines are laid out in (Spark's choice without
+    it), ``max_bytes`` bounds the text in a file of a shard or of the bundle.
+
     A release is shards, one bundle in order of ids, the awards per recipient, and metadata:
     counts, files, and sources with the day each was extracted on (``extracted``) and where it came
     from (``urls``), by source. With ``prior``, the counts of the release before, it also has the
@@ -367,18 +370,21 @@ def build_release(
     docs = spark.read.schema(built.schema).parquet(target)
     counts = bucket_counts(docs, "state")
 
+    lines = f"{beside}/_lines"
+    steps.run("lines", lines, lambda: write_ordered_lines(docs, lines, "state", ranges=shards), ranges=shards)
+
     def in_order() -> None:
-        write_shards(docs, f"{beside}/shards", "state", shards=shards)
+        write_line_shards(spark, lines, f"{beside}/shards", max_bytes)
         breaks = shard_order_breaks(spark, f"{beside}/shards")
         require_empty(breaks, "shard is not in order of its ids")
 
-    steps.run("shards", f"{beside}/shards", in_order, shards=shards)
+    steps.run("shards", f"{beside}/shards", in_order, max_bytes=max_bytes)
     hashed = f"{beside}/manifest"  # hashed once, read by all that follows
     steps.run("manifest", hashed, lambda: build_manifest(spark, f"{beside}/shards", counts).write.parquet(hashed))
     files = f"{beside}/files"
 
     def bundled() -> None:
-        both = write_bundle(spark, f"{beside}/shards", f"{beside}/bundle", spark.read.parquet(hashed))
+        both = write_line_bundle(spark, lines, f"{beside}/bundle", spark.read.parquet(hashed), max_bytes)
         both.write.mode("overwrite").parquet(files)
 
     steps.run("bundle", f"{beside}/bundle", bundled)
@@ -412,6 +418,7 @@ def build_release(
     mark = json.dumps({"version": version, "out": out})
     store.write(f"{out}/{MARK}", mark)
     tables.write(_table(folder, version, MARK), mark)
+    store.delete(f"{out}/_lines")
     return counts
 
 

@@ -72,7 +72,8 @@ class Steps:
         """Have ``write`` fill ``target``, unless that is done already."""
         self.seen.append({"step": name, "target": target, **settings})
         wanted = json.dumps(self.seen, sort_keys=True, default=str)
-        self.redo = self.redo or self.store.read(self._mark(name)) != wanted
+        done = self.store.read(self._mark(name)) == wanted and self.store.exists(target)
+        self.redo = self.redo or not done
         if self.redo:
             self.store.delete(self._mark(name))
             self.store.delete(target)

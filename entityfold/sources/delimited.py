@@ -9,11 +9,13 @@ records on its own; a record that runs on into the next blocks is completed with
 from __future__ import annotations
 
 import csv
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,9 @@ from entityfold.functions import safe_name
 from entityfold.operators.gates import GateError, require_empty
 from entityfold.session import fresh_folder
 
+# The functions that run on batches travel to the executors, which need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _BAD = "__bad_record"
 _BLOCK = ["path", "block"]
 

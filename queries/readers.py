@@ -28,12 +28,15 @@ from entityfold.sinks import (
     write_awards,
     write_bundle,
     write_comparison,
+    write_metadata,
     write_ndjson,
     write_shards,
 )
+from entityfold.sinks.buckets import read_table, write_bucketed
+from entityfold.sinks.slices import write_line_bundle, write_line_shards, write_ordered_lines
 from entityfold.sources import (
-    decode_workbooks,
     bad_records,
+    decode_workbooks,
     delimited_facts,
     open_records,
     ragged_records,
@@ -443,13 +446,17 @@ def workbook_grants(spark, d):
     return awards_by_recipient(read_grant_awards(grid))
 
 
-def _shards(spark, d):
-    folder = fresh_folder(spark, "shards")
-    orders = table(spark, d, "orders").select(
+def _order_documents(spark, d):
+    return table(spark, d, "orders").select(
         F.lpad(F.col("o_orderkey").cast("string"), 11, "0").alias("_id"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("state"),
         to_cents(F.col("o_totalprice")).alias("cents"),
     )
+
+
+def _shards(spark, d):
+    folder = fresh_folder(spark, "shards")
+    orders = _order_documents(spark, d)
     write_shards(orders, folder, "state", shards=12)
     return orders, folder
 
@@ -494,6 +501,52 @@ def release_bundle(spark, d):
     return both.groupBy("aggregate").agg(F.sum("records").alias("records"))
 
 
+@query("""
+    WITH o AS (SELECT CASE WHEN o_orderstatus = 'P' THEN 'other' ELSE lower(o_orderpriority) END AS bucket FROM orders)
+    SELECT bucket, false AS aggregate, count(*) AS records, true AS hashed FROM o GROUP BY 1
+    UNION ALL SELECT 'all', true, count(*), true FROM o
+""")
+def sliced_release(spark, d):
+    """Shards and bundle cut by bytes from one sorted layout; both hold every record once."""
+    orders = _order_documents(spark, d)
+    lines, shards, bundle = (fresh_folder(spark, n) for n in ("lines", "shards", "bundle"))
+    write_ordered_lines(orders, lines, "state")
+    write_line_shards(spark, lines, shards, max_bytes=1 << 20)
+    manifest = build_manifest(spark, shards, bucket_counts(orders, "state"))
+    both = write_line_bundle(spark, lines, bundle, manifest, max_bytes=1 << 20)
+    hashed = F.bool_and((F.length("sha256") == 64) & F.col("bytes").between(1, 1 << 20))
+    return both.groupBy("bucket", "aggregate").agg(F.sum("records").alias("records"), hashed.alias("hashed"))
+
+
+@query("""
+    SELECT lower(n_name) AS bucket, count(*) AS n, '2026.06.28' AS version, '1' AS "schemaVersion"
+    FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+""")
+def metadata_counts(spark, d):
+    """The counts of a release's metadata, written and read back."""
+    nations = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    counts = bucket_counts(table(spark, d, "customer").join(nations, "c_nationkey"), "n_name")
+    folder = fresh_folder(spark, "metadata")
+    write_metadata(folder, "2026.06.28", "1", counts, counts.select(F.col("bucket").alias("shard")), counts)
+    return spark.read.schema("version string, schemaVersion string, bucket string, n bigint").json(f"{folder}/counts")
+
+
+@query("""
+    SELECT c_custkey AS key, count(o_orderkey) AS orders FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1
+""")
+def bucketed_join(spark, d):
+    """Two tables laid out in buckets of their key, joined where they are."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    customers, orders = fresh_folder(spark, "customers"), fresh_folder(spark, "orders")
+    own = table(spark, d, "customer").select(F.col("c_custkey").alias("key"))
+    other = table(spark, d, "orders").select(F.col("o_custkey").alias("key"), "o_orderkey")
+    write_bucketed(own, customers, "key", buckets)
+    write_bucketed(other, orders, "key", buckets)
+    made = read_table(spark, orders, other.schema).groupBy("key").agg(F.count("o_orderkey").alias("orders"))
+    joined = read_table(spark, customers, own.schema).join(made, "key", "left")
+    return joined.select("key", F.coalesce("orders", F.lit(0)).cast("bigint").alias("orders"))
+
+
 @query("""
     SELECT '| ' || bucket || ' | ' || p || ' | ' || c || ' | '
            || printf('%+.1f%%', 100.0 * (c - p) / p) || ' | '

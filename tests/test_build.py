@@ -32,6 +32,7 @@ from entityfold.sinks import (
     json_line,
     merge_shards,
     shard_order_breaks,
+    slices,
     store,
     write_awards,
     write_bundle,
@@ -336,6 +337,47 @@ def test_shards_are_sorted_slices(spark, tmp_path):
         build_manifest(spark, str(tmp_path / "empty"), bucket_counts(ids, "state"))
 
 
+@pytest.mark.parametrize("block", [None, "20000"])
+def test_files_are_cut_by_bytes_without_a_shuffle(spark, tmp_path, block):
+    text = F.repeat(F.lit("é"), F.when(F.col("id") % 1000 == 7, 3000).otherwise(F.col("id") % 40).cast("int"))
+    docs = spark.range(4000).select(
+        F.lpad((F.col("id") * 7919 % 5003).cast("string"), 6, "0").alias("_id"),
+        F.when(F.col("id") % 3 == 0, "NSW").when(F.col("id") % 50 == 1, "VIC").alias("state"),
+        text.alias("text"),
+    )
+    lines, shards, out = (str(tmp_path / n) for n in ("lines", "shards", "all"))
+    if block:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("parquet.block.size", "20000")
+    try:
+        slices.write_ordered_lines(docs, lines, "state", ranges=3)
+        for made in (slices.line_shards, slices.line_bundle):
+            plan = made(slices.sliced_lines(spark, lines))._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan
+        slices.write_line_shards(spark, lines, shards, max_bytes=5000)
+        manifest = build_manifest(spark, shards, bucket_counts(docs, "state"))
+        both = slices.write_line_bundle(spark, lines, out, manifest, max_bytes=5000).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("parquet.block.size")
+    ids = sorted(r["_id"] for r in docs.collect())
+    for folder, aggregate, groups in ((shards, False, "bucket=*/"), (out, True, "")):
+        listed = {r["shard"]: r for r in both if r["aggregate"] == aggregate}
+        held = {}
+        for file in sorted(Path(folder).glob(f"{groups}part=*/*.gz")):
+            content = file.read_bytes()
+            text = gzip.decompress(content)
+            found = [json.loads(line)["_id"] for line in text.decode().splitlines()]
+            assert len(text) <= 5000 or len(found) == 1
+            row = listed.pop(str(file.relative_to(folder)))
+            assert (row["records"], row["bytes"], row["sha256"]) == (len(found), len(content), hashlib.sha256(content).hexdigest())
+            held.setdefault(file.parts[-3] if groups else "", []).extend(found)
+        assert not listed
+        assert all(f == sorted(f) for f in held.values())  # in the order of the files' names
+        assert sorted(i for f in held.values() for i in f) == ids
+    assert shard_order_breaks(spark, shards).isEmpty()
+
+
 def test_files_are_chosen_per_source(spark, tmp_path):
     names = {
         "asic_company": {"company_202606.csv": 9, "company_dictionary.csv": 2, "x.csv": 50},
@@ -533,11 +575,8 @@ def test_release_needs_complete_sources(spark, tmp_path):
 
 
 BROKEN = {
-    "documents": ("write_shards", "shards"),
+    "documents": ("write_ordered_lines", "_lines"),
     "shards": ("build_manifest", "manifest"),
-    "manifest": ("write_bundle", "bundle"),
-    "bundle": ("write_awards", "awards"),
-    "awards": ("write_metadata", "metadata"),
 }
 
 
@@ -583,7 +622,7 @@ def test_what_a_release_keeps_depends_on_its_settings(spark, tmp_path, built, mo
         return build_release(spark, str(tables), VERSION, str(out), profile=profile, urls={"abn": "https://x.test/abn"})
 
     with monkeypatch.context() as broken, pytest.raises(OSError, match="a lost disk"):
-        broken.setattr(build, "write_bundle", stop)
+        broken.setattr(build, "write_line_bundle", stop)
         release("off")
     documents = tables / "version=20260628" / "documents"
     first = {f.name for f in documents.glob("*.parquet")}
@@ -617,10 +656,10 @@ def test_a_move_that_was_interrupted_is_finished(spark, tmp_path, built, monkeyp
         broken.setattr(store.Store, "write", lost)
         build_release(spark, str(tables), VERSION, str(out), profile="fixture")
     assert out.exists() and released(spark, str(tables), VERSION) is None
-    bundle = {f.name for f in (out / "bundle").glob("*.gz")}
+    bundle = {f.name for f in (out / "bundle").glob("*/*.gz")}
     build_release(spark, str(tables), VERSION, str(out), profile="fixture")
     assert released(spark, str(tables), VERSION) == str(out)
-    assert {f.name for f in (out / "bundle").glob("*.gz")} == bundle
+    assert bundle and {f.name for f in (out / "bundle").glob("*/*.gz")} == bundle
 
 
 def test_compare_releases(rows, built):
