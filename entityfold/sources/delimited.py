@@ -47,6 +47,11 @@ def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def _without_return(name: str) -> Column:
+    """A text without the carriage return at its end."""
+    return F.when(F.endswith(name, F.lit("\r")), F.left(F.col(name), F.length(name) - 1)).otherwise(F.col(name))
+
+
 def block_facts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, block, lines, quotes, blank_lines, header, header_at, odd_lines, last_odd, lone_returns)
     per block of a file, in one pass; places count from 0 in the block.
@@ -54,8 +59,8 @@ def block_facts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ``odd_lines`` have an odd number of quotes: there a quoted field that runs over several lines
     begins or ends. ``lone_returns`` are lines with a carriage return inside.
     """
-    value = F.regexp_replace("value", "\r$", "")
-    count = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    value = _without_return("value")
+    count = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     lines = _lines(spark, path).select(
         *_BLOCK,
         "place",
@@ -208,7 +213,8 @@ def numbered_records(
     """
     blocks = _blocks_of(spark, path) if blocks is None else blocks
     lines = _lines(spark, path)
-    small = blocks.count() <= MOST_BLOCKS
+    known = blocks.agg(F.count(F.lit(1)), F.count_if("inside")).first()
+    small = known[0] <= MOST_BLOCKS
 
     def beside(facts: DataFrame, *columns: str) -> DataFrame:
         if small:
@@ -216,26 +222,25 @@ def numbered_records(
         met = lines.join(facts, _BLOCK).repartition(*_BLOCK)
         return met.sortWithinPartitions(*_BLOCK, "place").select(*columns)
 
-    known = blocks.select(*_BLOCK, "first_line", "inside", F.lit(None).cast("string").alias("rest"))
-    if quoting:
+    starts = blocks.select(*_BLOCK, "first_line", "inside", F.lit(None).cast("string").alias("rest"))
+    if quoting and known[1]:
         inside = blocks.where("inside").select(*_BLOCK, "owner")
-        if not inside.isEmpty():
-            schema = "path string, owner bigint, block bigint, text string"
-            firsts = beside(inside, "path", "owner", "block", "value").mapInArrow(_first_lines, schema)
-            pieces = F.array_sort(F.collect_list(F.struct("block", "text")))
-            text = F.array_join(F.transform(pieces, lambda p: p["text"]), "\n")
-            rests = firsts.groupBy("path", F.col("owner").alias("block")).agg(text.alias("rest"))
-            known = known.drop("rest").join(rests, _BLOCK, "left")
+        schema = "path string, owner bigint, block bigint, text string"
+        firsts = beside(inside, "path", "owner", "block", "value").mapInArrow(_first_lines, schema)
+        pieces = F.array_sort(F.collect_list(F.struct("block", "text")))
+        text = F.array_join(F.transform(pieces, lambda p: p["text"]), "\n")
+        rests = firsts.groupBy("path", F.col("owner").alias("block")).agg(text.alias("rest"))
+        starts = starts.drop("rest").join(rests, _BLOCK, "left")
 
     def glue(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _glued(batches, quoting)
 
-    ordered = beside(known, *_BLOCK, "value", "first_line", "inside", "rest")
+    ordered = beside(starts, *_BLOCK, "value", "first_line", "inside", "rest")
     records = ordered.mapInArrow(glue, "path string, line bigint, text string")
     headers = blocks.where("block = 0").select("path", "header_line")
     records = records.join(F.broadcast(headers) if small else headers, "path")
     records = records.where(F.col("line") != F.coalesce("header_line", F.lit(0)))
-    return records.select("path", "line", F.regexp_replace("text", "\r$", "").alias("text"))
+    return records.select("path", "line", _without_return("text").alias("text"))
 
 
 def parsed_records(records: DataFrame, names: Sequence[str], sep: str, quoting: bool) -> DataFrame:
