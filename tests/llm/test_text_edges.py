@@ -288,10 +288,51 @@ def test_licences(spark, docs, none):
     assert found[1, "mit-notice"].containment == 1
     assert 0.8 <= found[2, "mit-notice"].containment < 1
     assert licences.scan(none).collect() == []
-    assert licences.scan(docs, {"short": "four words are few"}).collect() == []
+    assert licences.scan(docs, {"no words": " - "}).collect() == []
     assert licences.scan(docs).collect() == []
 
 
+def test_short_licence_notices(spark):
+    rows = [
+        (1, f"{LONG} All rights reserved. {LONG}"), (2, "// SPDX-License-Identifier: MIT"), (3, "all rights are reserved"),
+        (4, "rights reserved"), (5, "SPDX-License-Identifier: Apache-2.0"), (6, "x. ALL RIGHTS\nRESERVED"), (6, "all rights reserved"),
+    ]
+    found = {(r.doc_id, r.template, r.word) for r in licences.scan(frame(spark, rows)).collect()}
+    at = len(LONG.split())
+    assert {(k, t) for k, t, _ in found} == {
+        (1, "all-rights-reserved"), (2, "spdx-mit"), (5, "spdx-apache-2.0"), (6, "all-rights-reserved"),
+    }
+    assert (1, "all-rights-reserved", at) in found
+    assert (6, "all-rights-reserved", 0) in found
+    few = licences.scan(frame(spark, rows), {"one": "reserved", "two": "rights reserved", "five": "all rights are so reserved"})
+    assert {(r.doc_id, r.template) for r in few.collect()} == {(k, t) for k in (1, 3, 4, 6) for t in ("one", "two")} - {(3, "two")}
+
+
+def test_licences_at_any_place_with_words_between(spark):
+    """A notice broken by other words is found wherever it begins, up to half its length."""
+    isc = licences.TEMPLATES["isc"].split()
+    rows, wanted = [], {}
+    for between in (0, 8, 12, 17, 30):
+        for before in range(9):
+            key = len(rows)
+            text = [f"w{i}" for i in range(before)] + isc[:15] + [f"x{i}" for i in range(between)] + isc[15:]
+            rows.append((key, " ".join([*text, "end"])))
+            if between <= 17:
+                wanted[key] = before
+    found = licences.scan(frame(spark, rows)).where("template = 'isc'").collect()
+    assert {r.doc_id: r.word for r in found} == wanted
+    assert {r.containment for r in found} == {1, 26 / 30}
+
+
+def test_licence_bands_miss_few(spark):
+    """A window that holds a passage shares a band with the template but for one case in a million."""
+    for r in licences.template_table(spark, licences.TEMPLATES).collect():
+        size = len(r.shingles)
+        need = -(-size * 4 // 5)
+        least = need / (size + licences.width(r.n) - need)
+        assert (1 - least) ** licences.BANDS < 1e-6
+
+
 def test_licence_scan_runs_no_python(spark, docs):
     plan = licences.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
