@@ -251,9 +251,9 @@ def nested_optional(spark, d):
         "c_custkey",
         [F.col("o_totalprice").desc_nulls_last(), F.col("o_orderkey")],
     )
-    outer = nest_one(
-        customers.where("c_acctbal > 0"), best, "c_custkey", "best", {"key": F.col("o_orderkey")}
-    )
+    account = F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).alias("c_custkey")
+    accounts = customers.select(account, "c_acctbal")  # the others have no key, and are refused
+    outer = nest_one(accounts, best, "c_custkey", "best", {"key": F.col("o_orderkey")})
     out = nest_one(
         customers, outer, "c_custkey", "account", {"bal": F.col("c_acctbal"), "best": F.col("best")}
     )
