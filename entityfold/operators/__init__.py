@@ -32,8 +32,10 @@ from entityfold.operators.relate import (
     bridge_secondary,
     first_seen,
     hot_keys,
+    join_shared,
     latest_per_key,
     lookup_guarded,
+    shared_lists,
     two_path,
 )
 from entityfold.operators.verify import (
@@ -68,6 +70,7 @@ __all__ = [
     "gate_floors",
     "hot_keys",
     "ingest_stats",
+    "join_shared",
     "latest_per_key",
     "lookup_guarded",
     "nest_many",
@@ -80,6 +83,7 @@ __all__ = [
     "require_empty",
     "rule_counts",
     "shard_total",
+    "shared_lists",
     "spend_by_supplier",
     "top_issues",
     "two_path",

@@ -8,6 +8,8 @@ Skew, in short:
 * A lookup key may be null, or one value, on a large part of the base. Rows that
   cannot match take no part in the look-up, and hot values are salted; the looked-up
   row is repeated once per salt of a hot value and stays single for all others.
+* A list that many base rows share by their secondary key is not copied to each of them on the
+  way: ``shared_lists`` tells when the rows should rather move to the list (``join_shared``).
 """
 
 from __future__ import annotations
@@ -27,6 +29,11 @@ _PARTS = "__parts"
 # A lookup value with more base rows than this is split over several tasks.
 HOT_ROWS = 1_000_000
 
+# Lists that are copied to the rows that share them may add so many items to a row on average.
+MOST_COPIED = 4
+# A shared list is sent to one task for so many of its rows.
+SHARED_ROWS = 100_000
+
 
 def _all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
@@ -151,6 +158,47 @@ def bridge_secondary(
     return found.select(base_id, *sides)
 
 
+def shared_lists(
+    base: DataFrame, base_key: str, guard: Column, items: DataFrame, most: int = MOST_COPIED
+) -> DataFrame | None:
+    """Where the lists of ``items`` (rows with ``base_key``) should not be copied to the base rows.
+
+    None if the copies add ``most`` items or fewer to a row that has a list, on average: then
+    ``bridge_secondary`` may bring the lists themselves. Else one row per list: the key and
+    ``shared``, a reference (key, parts) for ``bridge_secondary`` to bring and ``join_shared``
+    to resolve. Copies grow with base rows times items, references with the base rows alone.
+    Only the key columns are read, and counted with map-side combine.
+    """
+    with_key = F.col(base_key).isNotNull()
+    rows = base.where(guard & with_key).groupBy(base_key).agg(F.count(F.lit(1)).alias("__rows"))
+    sizes = items.where(with_key).groupBy(base_key).agg(F.count(F.lit(1)).alias("__items"))
+    both = rows.join(sizes, base_key)
+    found = both.agg(
+        F.sum("__rows").alias("rows"), F.sum(F.col("__rows").cast("double") * F.col("__items")).alias("copied")
+    ).first()
+    if not found["rows"] or found["copied"] <= most * found["rows"]:
+        return None
+    parts = F.ceil(F.col("__rows") / SHARED_ROWS).cast("bigint")
+    return both.select(
+        base_key, F.struct(F.col(base_key).alias("key"), parts.alias("parts")).alias("shared")
+    )
+
+
+def join_shared(base: DataFrame, base_id: str, lists: DataFrame, key: str, shared: DataFrame) -> DataFrame:
+    """Replace the column ``shared`` of ``base`` by the list it refers to, null without one.
+
+    ``lists`` is one row per ``key``, ``shared`` what ``shared_lists`` gave. The base moves to the lists,
+    dealt over the parts of each; rows without a list are dealt by their id.
+    """
+    parts = shared.select(key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shared.parts") - 1)).alias(_SALT))
+    dealt = lists.join(parts, key).withColumnRenamed(key, _KEY)
+    spread = F.xxhash64(base_id)
+    keyed = base.withColumns(
+        {_KEY: F.col("shared.key"), _SALT: F.coalesce(F.pmod(spread, F.col("shared.parts")), spread)}
+    )
+    return keyed.drop("shared").join(dealt, [_KEY, _SALT], "left").drop(_KEY, _SALT)
+
+
 def lookup_guarded(
     base: DataFrame,
     dim: DataFrame,

@@ -10,7 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entityfold.functions import age_years, compact_iso, iso, joined, stripped
-from entityfold.operators import bridge_secondary, latest_per_key, nest_many, nest_one
+from entityfold.operators import (
+    bridge_secondary,
+    join_shared,
+    latest_per_key,
+    nest_many,
+    nest_one,
+    shared_lists,
+)
 from entityfold.operators.nest import collect_ordered
 from entityfold.plans import fixed_values as fixed
 
@@ -185,7 +192,9 @@ def _with_two_path_sides(
 
     The whole object comes from the primary path when there is one. All secondary matches
     are brought to the primary key together, through a narrow scan of the base of its own
-    (id and number only), and join ``out``, the base with its other sides, once.
+    (id and number only), and join ``out``, the base with its other sides, once. Where many
+    entities share long lists of actions, a reference to the list comes this way, and ``out``
+    moves to the lists.
     """
     by_start = _down("start_date")
     sides = [
@@ -212,7 +221,7 @@ def _with_two_path_sides(
         )
 
     actions = dims["asic_banned_disqualified"].withColumnRenamed("acn", "asic_number")
-    by_number["actions"] = collect_ordered(
+    lists = collect_ordered(
         actions,
         "asic_number",
         "actions",
@@ -223,9 +232,16 @@ def _with_two_path_sides(
     # The published register leaves most numbers untyped, so the guard excludes the
     # known other kinds rather than asking for company numbers. It looks at the exact case.
     guard = ~F.coalesce("asic_number_type", F.lit("")).isin(*fixed.FOREIGN_TYPES)
+    shared = shared_lists(base, "asic_number", guard, actions)
+    if shared is None:
+        by_number["actions"] = lists
+    else:
+        by_number["shared"] = shared
     bridge = bridge_secondary(base, "abn", "asic_number", guard, by_number)
     out = out.join(bridge, "abn", "left")
-    no_actions = F.array().cast(bridge.schema["actions"].dataType)
+    if shared is not None:
+        out = join_shared(out, "abn", lists, "asic_number", shared)
+    no_actions = F.array().cast(lists.schema["actions"].dataType)
     return out.withColumns(
         {n: F.coalesce(f"{n}_direct", f"{n}_other") for n, *_ in sides}
         | {"bannedDisqualified": F.coalesce("actions", no_actions)}

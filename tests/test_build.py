@@ -439,6 +439,20 @@ def test_the_base_is_shuffled_once_without_broadcasts(spark):
     assert sum("Exchange" in line for line in _ancestors(plan.splitlines(), wide[0])) == 1
 
 
+def test_lists_many_entities_share_do_not_move_with_them(spark):
+    """At sf0.1 a number has 13 actions and 50 entities: the lists stay on their numbers."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        documents = documents_of(spark, "/root/testdata/sf0.1")
+        lines = documents._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lists = [line for line in lines if "FileScan" in line and "p_type" in line]
+    assert len(lists) == 1
+    moves = [line for line in _ancestors(lines, lists[0]) if "Exchange" in line]
+    assert moves and not any("hashpartitioning(abn" in line for line in moves)
+
+
 def _ancestors(lines, leaf):
     """The operators above a leaf of a plan printed as a tree."""
 

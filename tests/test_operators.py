@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from entityfold import operators as op
+from entityfold.operators import relate
 from entityfold.operators import GateError
 from entityfold.operators.nest import collect_ordered
 
@@ -274,3 +275,27 @@ def test_compare_counts_treats_zero_as_absent(rows):
         "c": "appeared",
         "d": "ok",
     }
+
+
+def test_shared_lists(spark, rows, monkeypatch):
+    """Rows that share a list go to it; rows without a key, a list or the guard's leave stay without."""
+    monkeypatch.setattr(relate, "SHARED_ROWS", 3)
+    base = [(i, None if i % 5 == 0 else f"n{i % 4}", i % 7 != 0) for i in range(60)]
+    items = [(f"n{n}", at) for n in range(3) for at in range(20 * n)] + [(None, 1)] * 50 + [("other", 1)]
+    base_df, items_df = rows(base, "id long, key string, able boolean"), rows(items, "key string, at int")
+    guard = F.col("able")
+    assert relate.shared_lists(base_df, "key", guard, items_df, most=40) is None
+    assert relate.shared_lists(base_df, "key", guard, items_df.limit(0)) is None
+    assert relate.shared_lists(base_df.limit(0), "key", guard, items_df) is None
+    shared = relate.shared_lists(base_df, "key", guard, items_df)
+    lists = items_df.where("key is not null").groupBy("key").agg(F.sort_array(F.collect_list("at")).alias("list"))
+    assert max(r.shared.parts for r in shared.collect()) > 1
+    found = relate.bridge_secondary(base_df, "id", "key", guard, {"shared": shared})
+    out = relate.join_shared(base_df.join(found, "id", "left"), "id", lists, "key", shared)
+    want = {}
+    for i, key, able in base:
+        have = sorted(at for k, at in items if k == key) if key and able else []
+        want[i] = have or None
+    assert out.columns == ["id", "key", "able", "list"]
+    got = out.collect()
+    assert len(got) == len(base) and {r.id: r.list for r in got} == want
