@@ -7,10 +7,11 @@ words before (after) its occurrences stand in the interval of the forward (backw
 one step extends all phrases of a shard to the left (right), with counts and both new intervals.
 
 Counts are summed across shards by Spark, in two rounds. The first extends single words once and
-finds the pairs that are frequent over all shards (by the hash of their words: a hash that two
-pairs share may let a rare pair through, never stop a frequent one). Each shard then gets back its
-own frequent pairs, and the second round extends only phrases that consist of them. Their words,
-not hashes, are the key of the final sums.
+sums the pairs over all shards, each known by 96 bits of two independent hashes of its language and
+words. Each shard then gets back its own frequent pairs, and the second round extends only phrases
+that consist of them (there 64 bits do: a hash that two pairs share may let a rare pair through,
+never stop a frequent one). The sum of a pair goes to one of its shards, which alone spells it out;
+the words of longer phrases, not hashes, are the key of their sums.
 """
 
 from __future__ import annotations
@@ -102,11 +103,14 @@ class WordIndex:
         return np.concatenate([words[p], w[:, None]], axis=1), low, back, size
 
 
-def hash_words(words: list[str]) -> np.ndarray:
-    """A number per word id from 1; the same in every shard."""
+def hash_words(words: list[str], lang: str) -> np.ndarray:
+    """Two independent numbers (rows) per word id from 1; the same in every shard of the language."""
     import xxhash
 
-    return np.array([0, *(xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words)], np.uint64)
+    digests = b"".join(xxhash.xxh3_128_digest(f"{lang} {w}".encode("utf-8", "surrogatepass")) for w in words)
+    out = np.zeros((2, len(words) + 1), np.uint64)
+    out[:, 1:] = np.frombuffer(digests, ">u8").reshape(-1, 2).T
+    return out
 
 
 def pair_keys(hashes: np.ndarray, pairs: np.ndarray) -> np.ndarray:
@@ -116,6 +120,14 @@ def pair_keys(hashes: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
 
 
+def pair_checks(hashes: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """32 more bits, from the other hash of the words."""
+    with np.errstate(over="ignore"):
+        mixed = hashes[pairs[:, 0]] * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[pairs[:, 1]]
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
+    return (mixed >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def pack_ids(ids: np.ndarray) -> bytes:
     """Numbers as 32-bit little-endian, their bytes by place (the high ones are mostly zero), compressed."""
     planes = np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T)
@@ -190,14 +202,15 @@ def shards(docs: DataFrame, text: str = "text", lang: str = "lang", shard_words:
 def _shard_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            shard, words, size, ids = (batch.column(c)[i].as_py() for c in range(4))
+            shard, lang, words, size, ids = (batch.column(c)[i].as_py() for c in range(5))
             index = WordIndex(unpack_ids(ids, size), 2)
             pairs, _, _, size = index.left(*index.singles)
-            keys = pair_keys(hash_words(words), pairs)
+            hashes = hash_words(words, lang)
+            keys, checks = pair_keys(hashes[0], pairs), pair_checks(hashes[1], pairs)
             for at in range(0, len(keys), 1 << 16):
                 part = slice(at, at + (1 << 16))
-                columns = [pa.array(np.full(len(keys[part]), shard)), pa.array(keys[part]), pa.array(size[part].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "pair", "n"])
+                columns = [pa.array(np.full(len(keys[part]), shard)), pa.array(keys[part]), pa.array(checks[part]), pa.array(size[part].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "pair", "mark", "n"])
 
 
 def _member(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -207,27 +220,35 @@ def _member(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def shard_phrases(shard: pd.DataFrame, pairs: pd.DataFrame, longest: int) -> pd.DataFrame:
-    """Phrases of 2 to ``longest`` words of a shard all of whose neighbouring pairs are frequent."""
+    """Phrases of 3 to ``longest`` words of a shard all of whose neighbouring pairs are frequent, with their
+    counts in the shard, and the pairs whose count over all shards (``f``, else 0) was given to this one."""
     phrases, counts = [], []
     wanted = np.sort(pairs["pair"].to_numpy(np.int64))
+    given = pairs.loc[pairs["f"] > 0, ["pair", "mark", "f"]]
     for _, row in shard.iterrows():
         index, words = WordIndex(unpack_ids(row["ids"], row["size"]), longest), list(row["words"])
-        hashes, names = hash_words(words), np.array(["", *words], object)
+        hashes, names = hash_words(words, row["lang"]), np.array(["", *words], object)
 
         def kept(found: tuple[np.ndarray, ...], ends: slice) -> tuple[np.ndarray, ...]:
-            good = _member(wanted, pair_keys(hashes, found[0][:, ends]))
+            good = _member(wanted, pair_keys(hashes[0], found[0][:, ends]))
             return tuple(x[good] for x in found)
 
+        def spelt(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            known = pd.DataFrame({"pair": pair_keys(hashes[0], pairs), "mark": pair_checks(hashes[1], pairs), "at": np.arange(len(pairs))})
+            both = known.merge(given, on=["pair", "mark"])
+            return pairs[both["at"].to_numpy()], both["f"].to_numpy()
+
         known = index.singles
         for length in range(2, longest + 1):  # both ways in turn; either transform alone would do
             known = kept(index.left(*known), slice(0, 2)) if length % 2 == 0 else kept(index.right(*known), slice(-2, None))
             if not len(known[0]):
                 break
-            text = names[known[0][:, 0]]
+            found, n = spelt(known[0]) if length == 2 else (known[0], known[3])
+            text = names[found[:, 0]]
             for k in range(1, length):
-                text = text + " " + names[known[0][:, k]]
+                text = text + " " + names[found[:, k]]
             phrases.append(text)
-            counts.append(known[3])
+            counts.append(n)
     lang = shard["lang"].iloc[0] if len(shard) else None
     phrase = np.concatenate(phrases) if phrases else np.empty(0, object)
     n = np.concatenate(counts) if counts else np.empty(0, np.int64)
@@ -242,9 +263,10 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     single = single.groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("f"))
     single = materialise(single, "words")
     n = single.groupBy("lang").agg(F.sum("f").alias("n"))
-    pairs = held.select("shard", "words", "size", "ids").mapInArrow(_shard_pairs, "shard long, pair long, n long")
-    over = F.sum("n").over(Window.partitionBy("pair"))
-    pairs = pairs.withColumn("n", over).where(F.col("n") >= least).select("shard", "pair")
+    pairs = held.select("shard", "lang", "words", "size", "ids").mapInArrow(_shard_pairs, "shard long, pair long, mark int, n int")
+    same = Window.partitionBy("pair", "mark")
+    pairs = pairs.withColumns({"n": F.sum("n").over(same), "first": F.min("shard").over(same)}).where(F.col("n") >= least)
+    pairs = pairs.select("shard", "pair", "mark", F.when(F.col("shard") == F.col("first"), F.col("n")).otherwise(0).alias("f"))
 
     def count_in(shard: pd.DataFrame, frequent: pd.DataFrame) -> pd.DataFrame:
         return shard_phrases(shard, frequent, longest)

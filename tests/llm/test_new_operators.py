@@ -252,3 +252,24 @@ def test_pairs_of_one_hash_do_no_harm(spark, monkeypatch):
     df = spark.createDataFrame([(words * 40, "en")], "text string, lang string")
     frequent, _ = phrases.frequent_phrases(df)
     assert {r.phrase: r.f for r in frequent.collect()} == {"a": 80, "b": 80, "c": 40, "d": 40, "a b": 80, "b c": 40, "b d": 40, "a b c": 40, "a b d": 40}
+
+
+def test_a_frequent_pair_is_spelt_once(spark, monkeypatch):
+    """One row over all shards, with the whole count; a pair that only two languages together make frequent gets none."""
+    monkeypatch.setattr(phrases.shards, "__defaults__", ("text", "lang", 20))
+    kind = type(spark.range(1))
+    made, real = [], kind.groupBy
+    monkeypatch.setattr(kind, "groupBy", lambda df, *by: [made.append(df) if df.columns == ["lang", "phrase", "f"] else None, real(df, *by)][1])
+    rows = [("a b. c d.", "en")] * 40 + [("c d. e f", x) for x in ("de", "fr") for _ in range(20)]
+    frequent, _ = phrases.frequent_phrases(spark.createDataFrame(rows, "text string, lang string").repartition(4))
+    assert sorted(map(tuple, made[-1].collect())) == [("en", "a b", 40), ("en", "c d", 40)]
+    assert sorted(tuple(r) for r in frequent.collect() if " " in r.phrase) == [("en", "a b", 40), ("en", "c d", 40)]
+
+
+def test_a_pair_is_known_by_two_hashes(monkeypatch):
+    monkeypatch.setattr(phrases, "pair_keys", lambda hashes, pairs: np.zeros(len(pairs), np.int64))
+    words, ids = ["a", "b", "c"], np.array([0, 1, 2, 0, 1, 3, 0], np.int32)
+    shard = phrases.pd.DataFrame({"lang": ["en"], "words": [words], "size": [len(ids)], "ids": [phrases.pack_ids(ids)]})
+    mark = phrases.pair_checks(phrases.hash_words(words, "en")[1], np.array([[1, 2]]))
+    given = phrases.pd.DataFrame({"pair": np.zeros(1, np.int64), "mark": mark, "f": [99]})
+    assert phrases.shard_phrases(shard, given, 4).values.tolist() == [["en", "a b", 99]]
