@@ -298,6 +298,17 @@ def register_xml(spark, d):
     )
 
 
+def release_lines(spark, d):
+    """Releases with an id alone and in a package, others in a package; each is made JSON once."""
+    content = F.xxhash64("l_orderkey", "l_linenumber", F.to_json("parties"), F.to_json("contracts"))
+    ocid = F.when(F.col("l_linenumber") != 2, content.cast("string")).alias("ocid")
+    one = releases_of(spark, d).select(ocid, "parties", "contracts")
+    one = one.select("ocid", F.to_json(F.struct("ocid", "parties", "contracts")).alias("bare"))
+    package = F.concat(F.lit('{"releases":['), "bare", F.lit("]}"))
+    both = F.when(F.col("ocid").isNull(), F.array(package)).otherwise(F.array("bare", package))
+    return one.select(F.explode(both).alias("value"))
+
+
 @query("""
     SELECT CAST(51000000000 + l_suppkey AS VARCHAR) AS supplier, CAST(sum(c) AS BIGINT) AS cents,
            count(*) AS releases, min(s) AS first_signed, max(s) AS last_signed
@@ -315,18 +326,9 @@ def register_xml(spark, d):
 def ocds_releases(spark, d):
     """Gzipped JSON lines, every release there twice; second lines have no id and all count."""
     folder = fresh_folder(spark, "releases")
-    content = F.xxhash64("l_orderkey", "l_linenumber", F.to_json("parties"), F.to_json("contracts"))
-    ocid = F.when(F.col("l_linenumber") != 2, content.cast("string"))
-    one = releases_of(spark, d).select(
-        "l_linenumber", F.struct(ocid.alias("ocid"), "parties", "contracts").alias("r")
-    )
-    bare = F.to_json(F.struct("r.ocid", "r.parties", "r.contracts"))
-    package = F.to_json(F.struct(F.array("r").alias("releases")))
-    lines = one.select(F.when(F.col("r.ocid").isNull(), package).otherwise(bare).alias("value"))
-    again = one.where("r.ocid is not null").select(package.alias("value"))
     # A gzipped file is read by one task, so none gets too many lines.
-    files = lines.unionAll(again).write.option("maxRecordsPerFile", 50_000)
-    files.option("compression", "gzip").text(folder)
+    files = release_lines(spark, d).write.option("maxRecordsPerFile", 50_000)
+    files.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(folder)
     extracted = extract_releases(read_ocds(spark, folder), POSITION)
     return spend_by_supplier(distinct_releases(extracted, POSITION))
 

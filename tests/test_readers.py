@@ -4,6 +4,7 @@ import io
 import json
 import random
 import zipfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -450,3 +451,16 @@ def test_listing(spark, tmp_path):
     write(tmp_path, "abcdef", "two.txt")
     got = [(r["name"], r["size"]) for r in read_listing(spark, str(tmp_path), "*.csv").collect()]
     assert got == [("one.csv", 3)]
+
+
+def test_release_lines_are_made_in_one_pass(spark):
+    from queries.readers import release_lines
+
+    lines = release_lines(spark, "/root/testdata/sf0.001")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Union" not in plan
+    rows = [json.loads(r.value) for r in lines.collect()]
+    packed = Counter(json.dumps(r["releases"][0], sort_keys=True) for r in rows if "releases" in r)
+    alone = Counter(json.dumps(r, sort_keys=True) for r in rows if "releases" not in r)
+    assert alone and alone == Counter({k: n for k, n in packed.items() if "ocid" in json.loads(k)})
+    assert any("ocid" not in json.loads(k) for k in packed)
